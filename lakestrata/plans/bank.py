@@ -74,6 +74,25 @@ TRANSACTION_RULES = {
     "monto_neto_no_nulo": "monto_neto IS NOT NULL",
     "moneda_transaccion_no_nula": "moneda_transaccion IS NOT NULL",
 }
+# How often each transaction and account type occurs, in percent.
+TRANSACTION_TYPE_WEIGHTS = (
+    ("CATM", 15),
+    ("DATM", 14),
+    ("CMPR", 13),
+    ("TINT", 10),
+    ("DPST", 8),
+    ("PGSL", 7),
+    ("TEXT", 6),
+    ("RTRO", 5),
+    ("PGSV", 5),
+    ("NMNA", 4),
+    ("INTR", 3),
+    ("ADSL", 3),
+    ("IMPT", 3),
+    ("DMCL", 2),
+    ("CMSN", 2),
+)
+ACCOUNT_TYPE_WEIGHTS = (("AHRO", 40), ("CRTE", 30), ("PRES", 20), ("INVR", 10))
 PROFILE_CUSTOMER_COLUMNS = (
     "huella_identificacion_cliente",
     "identificador_cliente",

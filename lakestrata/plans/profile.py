@@ -66,9 +66,13 @@ def latest_orders(orders: DataFrame) -> DataFrame:
 
 def customer_view(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """Every customer with their latest order, two tiers and a fingerprint."""
+    return join_latest(customer, latest_orders(orders))
+
+
+def join_latest(customer: DataFrame, newest_orders: DataFrame) -> DataFrame:
     joined = left_once(
         rename_project(customer, CUSTOMER_NAMES, strict=True),
-        rename_project(latest_orders(orders), ORDER_NAMES, strict=True),
+        rename_project(newest_orders, ORDER_NAMES, strict=True),
         ["customer_id"],
     )
     return joined.withColumns(

@@ -1 +1,139 @@
-QUERIES = {}
+"""Expectations and checks, stored layout, change feed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakestrata.operators import aggregate, changes, layout, quality
+from lakestrata.plans.queries import Registered, table
+from lakestrata.session import new_scratch
+from lakestrata.sources.tables import write_files
+
+LINE_RULES = {
+    "price_positive": "l_extendedprice > 0",
+    "discount_above_tax": "l_discount > l_tax",
+    "shipped_since_1999": "l_shipdate > TIMESTAMP_NTZ '1998-12-31 00:00:00'",
+    "tax_share_below_one": "l_tax / nullif(l_discount, 0) < 1",
+    "key_not_null": "l_orderkey IS NOT NULL",
+}
+
+
+def j1_expectations(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.expectation_report(table(spark, sf, "lineitem"), LINE_RULES)
+
+
+def j1_observed_expectations(spark: SparkSession, sf: str) -> DataFrame:
+    """The same numbers as a by-product of writing the table."""
+    watched, observation = quality.observe_rules(table(spark, sf, "lineitem"), LINE_RULES)
+    watched.write.parquet(new_scratch(spark, "j1"))
+    return quality.observed_report(spark, observation, LINE_RULES)
+
+
+def j2_drop_unmet(spark: SparkSession, sf: str) -> DataFrame:
+    kept = quality.drop_unmet(table(spark, sf, "lineitem"), LINE_RULES)
+    return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_shipdate")
+
+
+def j3_key_check(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.key_check(table(spark, sf, "orders"), "o_orderkey")
+
+
+def j4_reference_check(spark: SparkSession, sf: str) -> DataFrame:
+    large = table(spark, sf, "part").filter("p_size > 10")
+    return quality.reference_check(table(spark, sf, "lineitem"), large, "l_partkey", "p_partkey")
+
+
+def j4_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
+    pending = table(spark, sf, "orders").filter("o_orderstatus = 'P'")
+    return quality.one_to_one_check(table(spark, sf, "customer"), pending, "c_custkey", "o_custkey")
+
+
+def j5_domain_range_format(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    return quality.violations(
+        orders,
+        {
+            "status_known": F.col("o_orderstatus").isin("F", "O"),
+            "year_in_range": F.year("o_orderdate").between(1996, 2000),
+            "priority_format": quality.has_format("o_orderpriority", "[1-5]-[A-Z ]+"),
+            "amount_not_negative": F.col("o_totalprice") >= 0,
+        },
+    )
+
+
+def j7_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    shares = {"A": 33.3, "N": 33.3, "R": 33.3}
+    met = aggregate.class_shares(table(spark, sf, "lineitem"), "l_returnflag", shares, 3.0)
+    return met.agg(F.count_if("met").alias("met"), F.count_if(~F.col("met")).alias("unmet"))
+
+
+def k1_clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
+    path = layout.recluster(
+        spark, f"{sf}/lineitem.parquet", new_scratch(spark, "k1"), "clustered", ["l_returnflag", "l_shipdate"], target_bytes=256 * 1024
+    )
+    return spark.read.parquet(path)
+
+
+def k2_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    root = new_scratch(spark, "k2")
+    write_files(table(spark, sf, "orders"), f"{root}/small", files=32)
+    return spark.read.parquet(layout.compact(spark, f"{root}/small", root, "compacted"))
+
+
+def k3_change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Debtors left, builders got 100 more, suppliers joined."""
+    old = table(spark, sf, "customer")
+    builder = F.col("c_mktsegment") == "BUILDING"
+    stayed = old.filter("c_acctbal >= 0").withColumn("c_acctbal", F.col("c_acctbal") + F.when(builder, 100.0).otherwise(0.0))
+    joined = table(spark, sf, "supplier").select(
+        (-F.col("s_suppkey") - 1).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("c_nationkey"),
+        F.col("s_acctbal").alias("c_acctbal"), F.lit(None).cast("string").alias("c_mktsegment"),
+    )
+    return changes.snapshot_changes(old, stayed.unionByName(joined), ["c_custkey"])
+
+
+def _report_sql() -> str:
+    parts = []
+    for name, rule in LINE_RULES.items():
+        rule = rule.replace("TIMESTAMP_NTZ", "TIMESTAMP")
+        parts.append(f"""SELECT '{name}' AS rule, count(*) FILTER ({rule}) AS met,
+            count(*) - count(*) FILTER ({rule}) AS unmet, count(*) FILTER (({rule}) IS NULL) AS unknown FROM lineitem""")
+    return " UNION ALL ".join(parts)
+
+
+def _drop_sql() -> str:
+    rules = " AND ".join(f"({r})" for r in LINE_RULES.values()).replace("TIMESTAMP_NTZ", "TIMESTAMP")
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, l_discount, l_tax, l_shipdate FROM lineitem WHERE {rules}"
+
+
+QUERIES: Registered = {
+    "j1_expectations": (j1_expectations, _report_sql()),
+    "j1_observed_expectations": (j1_observed_expectations, _report_sql()),
+    "j2_drop_unmet": (j2_drop_unmet, _drop_sql()),
+    "j3_key_check": (j3_key_check, """SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS distinct_keys,
+        count(*) FILTER (o_orderkey > 0) AS positive_keys, count(DISTINCT o_orderkey) = count(*) AS is_unique,
+        count(*) FILTER (o_orderkey > 0) = count(*) AS is_positive FROM orders"""),
+    "j4_reference_check": (j4_reference_check, """SELECT count(DISTINCT l_partkey) AS orphan_keys, count(*) AS orphan_rows FROM lineitem
+        WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)"""),
+    "j4_one_to_one": (j4_one_to_one, """WITH a AS (SELECT c_custkey AS k, count(*) AS n FROM customer GROUP BY 1),
+        b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+        SELECT CAST(coalesce(sum(a.n), 0) AS BIGINT) AS left_rows, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS right_rows,
+          count(*) FILTER (a.n > 1 OR b.n > 1) AS repeated_keys, count(*) FILTER (b.n IS NULL) AS left_only_keys,
+          count(*) FILTER (a.n IS NULL) AS right_only_keys FROM a FULL JOIN b ON a.k = b.k"""),
+    "j5_domain_range_format": (j5_domain_range_format, r"""SELECT "check", violations, violations = 0 AS passed FROM (
+        SELECT 'status_known' AS "check", count(*) FILTER (o_orderstatus NOT IN ('F','O')) AS violations FROM orders UNION ALL
+        SELECT 'year_in_range', count(*) FILTER (year(o_orderdate) NOT BETWEEN 1996 AND 2000) FROM orders UNION ALL
+        SELECT 'priority_format', count(*) FILTER (NOT regexp_full_match(o_orderpriority, '[1-5]-[A-Z ]+')) FROM orders UNION ALL
+        SELECT 'amount_not_negative', count(*) FILTER (o_totalprice < 0) FROM orders)"""),
+    "j7_distribution": (j7_distribution, """SELECT count(*) FILTER (ok) AS met, count(*) FILTER (NOT ok) AS unmet FROM (
+        SELECT abs(count(*) * 100 / (SELECT count(*) FROM lineitem) - 33.3) <= 3.0 AS ok FROM lineitem
+        WHERE l_returnflag IN ('A','N','R') GROUP BY l_returnflag)"""),
+    "k1_clustered_layout": (k1_clustered_layout, "SELECT * FROM lineitem"),
+    "k2_compaction": (k2_compaction, "SELECT * FROM orders"),
+    "k3_change_feed": (k3_change_feed, """SELECT 'delete' AS change_type, * FROM customer WHERE c_acctbal < 0
+        UNION ALL SELECT 'update_pre', * FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
+        UNION ALL SELECT 'update_post', c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment FROM customer
+          WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
+        UNION ALL SELECT 'insert', -s_suppkey - 1, s_name, s_nationkey, s_acctbal, NULL FROM supplier"""),
+}
