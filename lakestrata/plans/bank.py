@@ -206,10 +206,11 @@ def atm_metrics_spec(type_codes: str = TYPE_CODES) -> tuple[Metric, ...]:
     )
 
 
-def atm_metrics(transactions: DataFrame, type_codes: str = TYPE_CODES) -> DataFrame:
+def atm_metrics(transactions: DataFrame, type_codes: str = TYPE_CODES, scale: int | None = None) -> DataFrame:
     """Gold activity: one row per customer with any transaction."""
+    spec = atm_metrics_spec(type_codes)
     return conditional_metrics(
-        transactions, "identificador_cliente", "tipo_transaccion", "monto_principal", atm_metrics_spec(type_codes)
+        transactions, "identificador_cliente", "tipo_transaccion", "monto_principal", spec, scale
     )
 
 
