@@ -21,13 +21,12 @@ def inner_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(right, list(keys), "inner")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The keys with more than ``bucket_rows`` rows, and into how many buckets each splits.
+def hot_keys(df: DataFrame, keys: Sequence[str], total: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The keys with more than ``bucket_rows`` of the ``total`` rows, and the buckets each needs.
 
     ``bucket_rows`` is raised where needed so that fewer than ``MAX_HOT_KEYS`` keys can exceed
     it: that bound is what makes the result safe to broadcast. NULL keys are never hot.
     """
-    total = df.count()
     limit = max(bucket_rows, -(-total // MAX_HOT_KEYS))
     held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
     for key in keys:
@@ -52,7 +51,10 @@ def skew_safe_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"how must be inner, left, left_semi or left_anti, not {how!r}")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(many, keys, bucket_rows))
+    total = many.count()
+    if total <= bucket_rows:
+        return many.join(one, keys, how)
+    hot = F.broadcast(hot_keys(many, keys, total, bucket_rows))
     absent = F.lit(False)
     for key in keys:
         absent = absent | F.col(key).isNull()

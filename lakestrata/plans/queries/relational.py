@@ -148,7 +148,7 @@ def c1_left_join(spark: SparkSession, sf: str) -> DataFrame:
 def c1_left_join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
     rich = table(spark, sf, "supplier").filter("s_acctbal > 1000").select("s_suppkey", "s_name")
-    return joins.skew_safe_join(lines, rich, ["s_suppkey"], "left")
+    return joins.skew_safe_join(lines, rich, ["s_suppkey"], "left", bucket_rows=50)
 
 
 def c2_inner_join(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,0 +1,162 @@
+"""Incremental ingest: once each, evolving, rescuing, repeatable."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakestrata.sources import fs, ingest
+
+
+class Table:
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, str(root)
+        self.args = (f"{root}/landing", f"{root}/table", f"{root}/checkpoint", f"{root}/schema")
+
+    def drop(self, rows, schema, folder=""):
+        df = self.spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(f"{self.args[0]}/{folder}")
+
+    def take(self, **options):
+        ingest.ingest_files(self.spark, *self.args, **options)
+
+    def read(self, *columns):
+        df = ingest.read_ingested(self.spark, self.args[1], self.args[3])
+        return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return Table(spark, tmp_path)
+
+
+def test_rerun_adds_nothing(table):
+    table.drop([(1, "a"), (2, "b")], "id long, v string")
+    table.take()
+    table.take()
+    assert table.read("id", "v") == [(1, "a"), (2, "b")]
+    table.drop([(3, "c")], "id long, v string")
+    table.take()
+    assert table.read("id", "v", "ingest_batch") == [(1, "a", 0), (2, "b", 0), (3, "c", 1)]
+
+
+def test_control_columns(table):
+    table.drop([(1, "a")], "id long, v string")
+    table.take(lead=["v"], sort_by=["id"])
+    ((stamp, path, time, rescued),) = table.read("ingest_ts", "source_file", "source_time", "_rescued_data")
+    assert stamp is not None and path.endswith(".parquet") and time is not None and rescued is None
+    stored = table.spark.read.parquet(table.args[1])
+    assert stored.columns[0] == "v"
+
+
+def test_column_added_and_vanished(table):
+    table.drop([(1, "a")], "id long, v string")
+    table.take()
+    table.drop([(2, "b", 1.5)], "id long, v string, extra double")
+    table.take()
+    table.drop([(3, 2.5)], "id long, extra double")
+    table.take()
+    assert table.read("id", "v", "extra") == [(1, "a", None), (2, "b", 1.5), (3, None, 2.5)]
+    assert fs.list_names(table.spark, table.args[3]) == ["0.json", "1.json"]
+
+
+def test_drift_is_rescued_without_loss(table):
+    table.drop([(1, 10, 1.5)], "id long, n long, x double")
+    table.take()
+    table.drop([(2, "20", "bad"), (3, "3.7", None), (4, None, "7.25")], "id long, n string, x string")
+    table.drop([(5, 3.7, 1), (6, 4.0, 2)], "id long, n double, x int")
+    table.take()
+    assert table.read("id", "n", "x", "_rescued_data") == [
+        (1, 10, 1.5, None),
+        (2, 20, None, '{"x":"bad"}'),
+        (3, None, None, '{"n":"3.7"}'),
+        (4, None, 7.25, None),
+        (5, None, 1.0, '{"n":"3.7"}'),
+        (6, 4, 2.0, None),
+    ]
+
+
+def test_conflicting_types_of_a_new_column_in_one_batch(table):
+    table.drop([(1, 5)], "id long, n long", "d=1")
+    table.drop([(2, "x")], "id long, n string", "d=2")
+    table.take()
+    assert table.read("id", "n", "d", "_rescued_data") == [(1, 5, 1, None), (2, None, 2, '{"n":"x"}')]
+
+
+def test_types_that_never_convert(table):
+    table.drop([(1, 5)], "id long, n long")
+    table.take()
+    table.drop([(2, (7, "y"))], "id long, n struct<a:int,b:string>")
+    table.take()
+    assert table.read("id", "n", "_rescued_data")[1] == (2, None, '{"n":"{\\"a\\":7,\\"b\\":\\"y\\"}"}')
+
+
+def test_names_match_in_any_case(table):
+    table.drop([(1, "a")], "id long, v string")
+    table.take()
+    table.drop([(2, "b")], "ID long, V string")
+    table.take()
+    assert table.read("id", "v") == [(1, "a"), (2, "b")]
+
+
+def test_folder_keys_with_other_letters_and_patterns_in_names(table):
+    table.drop([(1,)], "id long", "año=2026/tag=a[1]")
+    table.drop([(2,)], "id long", "año=2026/tag=b{x}")
+    table.take()
+    assert table.read("id", "año", "tag") == [(1, 2026, "a[1]"), (2, 2026, "b{x}")]
+
+
+def test_batches_of_few_files(table):
+    for i in range(7):
+        table.drop([(i,)], "id long")
+    table.take(max_files=2)
+    assert [i for i, _ in table.read("id", "ingest_batch")] == list(range(7))
+    assert max(b for _, b in table.read("id", "ingest_batch")) == 3
+
+
+def test_batch_cut_short_before_commit_is_not_doubled(table):
+    table.drop([(1,)], "id long")
+    table.take()
+    table.drop([(2,)], "id long")
+    table.take()
+    fs.delete(table.spark, f"{table.args[2]}/commits/1")
+    fs.delete(table.spark, f"{table.args[2]}/commits/.1.crc")
+    before = set(fs.list_names(table.spark, f"{table.args[1]}/ingest_batch=1"))
+    table.take()
+    assert table.read("id") == [(1,), (2,)]
+    assert set(fs.list_names(table.spark, f"{table.args[1]}/ingest_batch=1")) == before
+
+
+def test_batch_cut_short_before_publishing_is_repeated(table):
+    table.drop([(1,)], "id long")
+    table.take()
+    table.drop([(2, 9)], "id long, n long")
+    table.take()
+    for name in ("commits/1", "commits/.1.crc"):
+        fs.delete(table.spark, f"{table.args[2]}/{name}")
+    fs.delete(table.spark, f"{table.args[1]}/ingest_batch=1")
+    table.take()
+    assert table.read("id", "n") == [(1, None), (2, 9)]
+
+
+def test_new_checkpoint_on_old_target_is_refused(table):
+    table.drop([(1,)], "id long")
+    table.take()
+    with pytest.raises(ValueError, match="rebuild"):
+        ingest.ingest_files(table.spark, table.args[0], table.args[1], f"{table.root}/other", table.args[3])
+
+
+def test_nothing_taken_in_yet(table):
+    with pytest.raises(FileNotFoundError):
+        ingest.read_ingested(table.spark, table.args[1], table.args[3])
+
+
+def test_widen_keeps_known_columns():
+    known = T.StructType([T.StructField("a", T.LongType())])
+    found = T.StructType([T.StructField("A", T.StringType()), T.StructField("b", T.DateType())])
+    assert ingest.widen(known, found).names == ["a", "b"]
+    assert ingest.widen(known, found)["a"].dataType == T.LongType()
+
+
+def test_other_errors_are_not_swallowed(table):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        list(ingest.schema_groups(table.spark, table.root, [f"{table.root}/absent.parquet"]))
