@@ -159,11 +159,26 @@ def customer_view(
     newest_by: Sequence[str] = NEWEST_BY,
 ) -> DataFrame:
     """Silver customers: newest master and balance row per customer, renamed, with tiers and fingerprint."""
-    joined = left_once(
-        _current(master, customer_names, newest_by), _current(balances, balance_names, newest_by), [KEY]
+    return join_current(
+        current_rows(master, customer_names, newest_by),
+        current_rows(balances, balance_names, newest_by),
+        {**customer_names, **balance_names},
     )
-    named = rename_project(joined, {**customer_names, **balance_names})
-    derived = named.withColumns(
+
+
+def mapped_columns(bronze: DataFrame, names: Mapping[str, str], newest_by: Sequence[str]) -> DataFrame:
+    """Only the columns that are mapped or order the rows: the rest is neither sorted nor shuffled."""
+    return bronze.select(*dict.fromkeys([KEY, *(c for c in names if c in bronze.columns), *newest_by]))
+
+
+def current_rows(bronze: DataFrame, names: Mapping[str, str], newest_by: Sequence[str]) -> DataFrame:
+    return latest_per_key(mapped_columns(bronze, names, newest_by), [KEY], newest_by)
+
+
+def join_current(master: DataFrame, balances: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """The view from one row per customer on each side; customers without balance stay."""
+    joined = left_once(drop_present(master, CONTROL_COLUMNS), drop_present(balances, CONTROL_COLUMNS), [KEY])
+    derived = rename_project(joined, names).withColumns(
         {
             "clasificacion_riesgo_cliente": risk_tier(),
             "categoria_saldo_disponible": balance_tier(),
@@ -174,12 +189,6 @@ def customer_view(
     return lead_columns(derived, CUSTOMER_CLUSTER)
 
 
-def _current(bronze: DataFrame, names: Mapping[str, str], newest_by: Sequence[str]) -> DataFrame:
-    """The newest row per customer, with the mapped columns only: what is not needed is not sorted or shuffled."""
-    wanted = dict.fromkeys([KEY, *(c for c in names if c in bronze.columns), *newest_by])
-    return drop_present(latest_per_key(bronze.select(*wanted), [KEY], newest_by), CONTROL_COLUMNS)
-
-
 def transaction_view(bronze: DataFrame, names: Mapping[str, str] = TRANSACTION_NAMES) -> DataFrame:
     """Silver transactions: row by row, so it serves batches and append-only streams alike."""
     named = rename_project(drop_present(bronze, CONTROL_COLUMNS), names)

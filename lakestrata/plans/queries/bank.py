@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from lakestrata.functions.draws import below, date_in, pick
 from lakestrata.operators import quality
 from lakestrata.plans import bank
+from lakestrata.plans.bank_flow import BankTables
+from lakestrata.plans.profile import latest_orders
 from lakestrata.plans.queries import Registered, table
 from lakestrata.plans.queries.synth import _draw, _pick
+from lakestrata.session import new_scratch
 
 LEVELS = {"AUTOMOBILE": "LOW", "BUILDING": "MED", "FURNITURE": "HIGH", "HOUSEHOLD": "HIG"}
 GRADES = ("A", "AA", "AAA", "B")
@@ -49,7 +52,11 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
 
 def balances(spark: SparkSession, sf: str) -> DataFrame:
     """Every order redelivers its customer's balance; the newest counts."""
-    return table(spark, sf, "orders").select(
+    return balance_rows(table(spark, sf, "orders"))
+
+
+def balance_rows(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_custkey").alias("CUSTID"),
         F.col("o_orderpriority").alias("BLACT"),
         F.col("o_orderstatus").alias("BLST"),
@@ -105,6 +112,35 @@ def silver_transaction_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.expectation_report(silver_transactions(spark, sf), bank.TRANSACTION_RULES)
 
 
+def two_day_tables(spark: SparkSession, sf: str) -> BankTables:
+    """Two days of files, each followed by an update.
+
+    Day one has outdated names, and balances and transactions up to a date; day two has the rest.
+    """
+    landing = new_scratch(spark, "bank")
+    orders = table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    moved = transactions(spark, sf)
+    before = F.col("TRXDT") < F.lit("1999-01-01").cast("date")
+    people = master(spark, sf).drop("ingest_ts", "source_time", "source_file", "_rescued_data")
+    folders = {s: f"{landing}/{s}" for s in ("customers", "balances", "transactions")}
+    kept = BankTables(spark, folders, f"{landing}/tables", buckets=8, scale=2)
+    days = [
+        (people.withColumn("CUSNM", F.lit("outdated")), orders.filter(early), moved.filter(before)),
+        (people, orders.filter(~early), moved.filter(~before)),
+    ]
+    for number, (customers, redelivered, transacted) in enumerate(days, 1):
+        newest = balance_rows(latest_orders(redelivered)).drop("ingest_ts", "source_time", "source_file")
+        for name, rows in (("customers", customers), ("balances", newest), ("transactions", transacted)):
+            rows.write.parquet(f"{folders[name]}/año=2026/mes=1/dia={number}")
+        kept.update()
+    return kept
+
+
+def two_day_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return two_day_tables(spark, sf).profile()
+
+
 def _case(column: str, codes: dict[str, str]) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in codes.items()) + " END"
 
@@ -181,6 +217,7 @@ QUERIES: Registered = {
     "bank_silver_transactions": (silver_transactions, _TRANSACTIONS),
     "bank_gold_activity": (gold_activity, _ACTIVITY),
     "bank_gold_profile": (gold_profile, _PROFILE),
+    "bank_two_day_update": (two_day_profile, _PROFILE),
     "bank_customer_expectations": (silver_customer_rules, _rules(_CUSTOMERS, bank.CUSTOMER_RULES)),
     "bank_transaction_expectations": (silver_transaction_rules, _rules(_TRANSACTIONS, bank.TRANSACTION_RULES)),
 }

@@ -29,6 +29,9 @@ SOURCE_TIME = "source_time"
 RESCUED = "_rescued_data"
 CONTROL = (INGEST_TS, SOURCE_FILE, SOURCE_TIME, RESCUED, BATCH)
 
+# Spark's file source forgets, and would skip, files older than this next to the newest one.
+MAX_FILE_AGE = "36500d"
+
 _FILE_LIST = "path string, modificationTime timestamp, length long, content binary"
 _CONFLICTS = ("CANNOT_MERGE_", "CONFLICTING_PARTITION_COLUMN_NAMES", "CONFLICTING_DIRECTORY_STRUCTURES")
 
@@ -42,7 +45,6 @@ def ingest_files(
     lead: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     max_files: int = 1_000,
-    max_file_age: str = "36500d",
 ) -> None:
     """Take in every new Parquet file below ``source``, in batches of ``max_files``, then return.
 
@@ -58,7 +60,7 @@ def ingest_files(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", max_file_age)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(source)
         .select("path")
     )
@@ -100,7 +102,7 @@ def read_ingested(spark: SparkSession, target: str, schema_store: str) -> DataFr
 
 def stream_ingested(spark: SparkSession, target: str, schema_store: str, max_files: int | None = None) -> DataFrame:
     """The table as a stream of its new rows."""
-    reader = spark.readStream.schema(ingested_schema(spark, schema_store)).option("maxFileAge", "36500d")
+    reader = spark.readStream.schema(ingested_schema(spark, schema_store)).option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(target)
