@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from lakestrata.plans import bank
 from lakestrata.sources import ingest, tables
 from lakestrata.streaming.append import append_refresh
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
-from lakestrata.streaming.key_refresh import join_refresh, key_refresh, read_keyed
+from lakestrata.streaming.key_refresh import join_refresh, key_refresh, prune, read_keyed
 
 CUSTOMERS, BALANCES, TRANSACTIONS = "customers", "balances", "transactions"
 LEAD = {
@@ -46,22 +47,22 @@ class BankTables:
     )
 
     def update(self) -> None:
-        for source in (CUSTOMERS, BALANCES, TRANSACTIONS):
-            folder = f"{self.root}/bronze/{source}"
-            ingest.ingest_files(
-                self.spark, self.landing[source], f"{folder}/table", f"{folder}/checkpoint", f"{folder}/schema",
-                lead=LEAD[source],
-            )
-        self._update_customers()
-        self._update_transactions()
+        """Take in new files and bring every table up to date; independent steps run side by side."""
+        with ThreadPoolExecutor() as pool:
+            list(pool.map(self._take_in, (CUSTOMERS, BALANCES, TRANSACTIONS)))
+            list(pool.map(lambda step: step(), (self._update_customers, self._update_transactions)))
         tables.full_refresh(bank.customer_profile(self.customers(), self.activity()), f"{self.root}/gold/profile")
 
+    def _take_in(self, source: str) -> None:
+        folder = f"{self.root}/bronze/{source}"
+        ingest.ingest_files(
+            self.spark, self.landing[source], f"{folder}/table", f"{folder}/checkpoint", f"{folder}/schema",
+            lead=LEAD[source],
+        )
+
     def _update_customers(self) -> None:
-        for source in (CUSTOMERS, BALANCES):
-            key_refresh(
-                bank.mapped_columns(self._stream(source), self.names[source], bank.NEWEST_BY),
-                self._now(source), f"{self.root}/silver/{source}_checkpoint", [bank.KEY], bank.NEWEST_BY, self.buckets,
-            )
+        with ThreadPoolExecutor() as pool:
+            list(pool.map(self._update_current, (CUSTOMERS, BALANCES)))
         join_refresh(
             self.spark,
             (self._now(CUSTOMERS), self._now_schema(CUSTOMERS)),
@@ -69,6 +70,12 @@ class BankTables:
             f"{self.root}/silver/customer_view", ["identificador_cliente"], self.buckets, self._join,
         )
 
+    def _update_current(self, source: str) -> None:
+        key_refresh(
+            bank.mapped_columns(self._stream(source), self.names[source], bank.NEWEST_BY),
+            self._now(source), f"{self.root}/silver/{source}_checkpoint", [bank.KEY], bank.NEWEST_BY, self.buckets,
+        )
+
     def _update_transactions(self) -> None:
         append_refresh(
             self._stream(TRANSACTIONS), self._enrich,
@@ -82,6 +89,11 @@ class BankTables:
             bank.atm_metrics_spec(self.type_codes), self.scale,
         )
 
+    def tidy(self) -> None:
+        """Remove replaced copies of customer buckets; run it while nobody reads."""
+        for folder in (self._now(CUSTOMERS), self._now(BALANCES), f"{self.root}/silver/customer_view"):
+            prune(self.spark, folder)
+
     # --- the tables --------------------------------------------------------------------------
 
     def bronze(self, source: str) -> DataFrame:

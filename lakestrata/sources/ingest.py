@@ -44,7 +44,7 @@ def ingest_files(
     schema_store: str,
     lead: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-    max_files: int = 1_000,
+    max_files: int = 10_000,
 ) -> None:
     """Take in every new Parquet file below ``source``, in batches of ``max_files``, then return.
 

@@ -46,3 +46,9 @@ def test_bronze_keeps_all_deliveries(kept):
 def test_expectations_name_every_rule(kept):
     found = [r["rule"] for r in kept.expectations().collect()]
     assert sorted(found) == sorted([*bank.CUSTOMER_RULES, *bank.TRANSACTION_RULES])
+
+
+def test_tidy_keeps_the_tables(kept):
+    before = rowset(kept.customers())
+    kept.tidy()
+    assert rowset(kept.customers()) == before
