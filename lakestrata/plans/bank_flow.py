@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.operators.aggregate import layer_counts
 from lakestrata.operators.quality import expectation_report
 from lakestrata.plans import bank
-from lakestrata.sources import ingest, tables
+from lakestrata.sources import ingest, settings, tables
+from lakestrata.sources.paths import KIND_KEY, resolve_path
 from lakestrata.streaming.append import append_refresh
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
 from lakestrata.streaming.key_refresh import join_refresh, key_refresh, prune, read_keyed
@@ -46,6 +47,21 @@ class BankTables:
         }
     )
 
+    @classmethod
+    def from_settings(
+        cls,
+        spark: SparkSession,
+        table: str,
+        folders: Mapping[str, str],
+        root: str,
+        columns: tuple[str, str] = settings.COLUMNS,
+        **options,
+    ) -> BankTables:
+        """Landing folders below the storage root, and type codes, both from a settings table."""
+        found = settings.load_settings(spark, table, (KIND_KEY, bank.TYPE_CODES_KEY), columns)
+        landing = {source: resolve_path(found, folder) for source, folder in folders.items()}
+        return cls(spark, landing, root, type_codes=found[bank.TYPE_CODES_KEY], **options)
+
     def update(self) -> None:
         """Take in new files and bring every table up to date; independent steps run side by side."""
         with ThreadPoolExecutor() as pool:
@@ -115,6 +131,15 @@ class BankTables:
     def profile(self) -> DataFrame:
         return tables.current_version(self.spark, f"{self.root}/gold/profile")
 
+    def views(self) -> list[str]:
+        """Register every table as a temporary view for SQL; returns their names."""
+        found = {f"bronze_{s}": self.bronze(s) for s in (CUSTOMERS, BALANCES, TRANSACTIONS)}
+        found |= {"silver_customers": self.customers(), "silver_transactions": self.transactions()}
+        found |= {"gold_activity": self.activity(), "gold_profile": self.profile()}
+        for name, df in found.items():
+            df.createOrReplaceTempView(name)
+        return list(found)
+
     def expectations(self) -> DataFrame:
         customers = expectation_report(self.customers(), bank.CUSTOMER_RULES)
         return customers.unionByName(expectation_report(self.transactions(), bank.TRANSACTION_RULES))

@@ -160,7 +160,7 @@ def _read_batch(spark: SparkSession, base: str, paths: list[str], store: str, nu
         fs.write_text(spark, f"{store}/{number}.json", schema.json())
     rows = None
     for found, members in groups:
-        part = _read(spark, base, members, found).select(
+        part = _read(spark, base, members, _folder_keys_as_text(found, schema, base, members)).select(
             "*",
             F.col("_metadata.file_path").alias(SOURCE_FILE),
             F.col("_metadata.file_modification_time").alias(SOURCE_TIME),
@@ -170,6 +170,19 @@ def _read_batch(spark: SparkSession, base: str, paths: list[str], store: str, nu
     return rows
 
 
+def _folder_keys_as_text(found: T.StructType, schema: T.StructType, base: str, paths: list[str]) -> T.StructType:
+    """``found`` with the folder keys that are text in the table read as text: ``code=007`` stays 007."""
+    depth = len(base.rstrip("/").split("/"))
+    keys = {part.split("=", 1)[0] for p in paths for part in p.split("/")[depth - 1 : -1] if "=" in part}
+    text = {f.name.lower() for f in schema if isinstance(f.dataType, T.StringType)}
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType()) if f.name in keys and f.name.lower() in text else f
+            for f in found
+        ]
+    )
+
+
 def _read(spark: SparkSession, base: str, paths: list[str], schema: T.StructType | None) -> DataFrame:
     reader = spark.read.option("basePath", base)
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")

@@ -5,6 +5,8 @@ import pytest
 from lakestrata.plans import bank
 from lakestrata.plans.bank_flow import BankTables
 from lakestrata.plans.queries import bank as queries
+from lakestrata.session import new_scratch
+from lakestrata.sources.settings import replace_settings
 from tests.conftest import SMALL
 
 
@@ -48,6 +50,34 @@ def test_expectations_name_every_rule(kept):
     assert sorted(found) == sorted([*bank.CUSTOMER_RULES, *bank.TRANSACTION_RULES])
 
 
+def test_adhoc_sql(spark, kept):
+    assert set(kept.views()) >= {"bronze_customers", "silver_customers", "gold_profile"}
+    tiers = spark.sql(
+        "SELECT clasificacion_riesgo_cliente, COUNT(*) AS n FROM silver_customers GROUP BY 1 ORDER BY n DESC"
+    ).collect()
+    assert sum(r["n"] for r in tiers) == 150
+    top = spark.sql(
+        "SELECT * FROM gold_activity WHERE cantidad_depositos_atm > 0 OR cantidad_retiros_atm > 0 "
+        "ORDER BY cantidad_depositos_atm DESC LIMIT 10"
+    ).collect()
+    assert len(top) == 10
+    assert spark.sql("SELECT COUNT(*) FROM silver_customers WHERE identificador_cliente IS NULL").first()[0] == 0
+
+
+def test_from_settings(spark, tmp_path):
+    name = "control_" + new_scratch(spark, "t").rsplit("-", 1)[-1]
+    columns = ("Clave", "Valor")
+    pairs = {"TipoStorage": "AmazonS3", "bucketS3": "b"}
+    replace_settings(spark, name, pairs, columns)
+    folders = {"customers": "as400/c/", "balances": "as400/b/", "transactions": "as400/t/"}
+    with pytest.raises(KeyError, match="TiposTransaccionesLabBase"):
+        BankTables.from_settings(spark, name, folders, "r", columns)
+    replace_settings(spark, name, {**pairs, bank.TYPE_CODES_KEY: "X,Y,Z"}, columns)
+    made = BankTables.from_settings(spark, name, folders, "r", columns, buckets=2)
+    assert made.landing["balances"] == "s3://b/as400/b/" and made.type_codes == "X,Y,Z" and made.buckets == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_tidy_keeps_the_tables(kept):
     before = rowset(kept.customers())
     kept.tidy()

@@ -105,6 +105,14 @@ def test_folder_keys_with_other_letters_and_patterns_in_names(table):
     assert table.read("id", "año", "tag") == [(1, 2026, "a[1]"), (2, 2026, "b{x}")]
 
 
+def test_text_folder_key_keeps_its_zeros(table):
+    table.drop([(1,)], "id long", "code=x7")
+    table.take()
+    table.drop([(2,)], "id long", "code=007")
+    table.take()
+    assert table.read("id", "code") == [(1, "x7"), (2, "007")]
+
+
 def test_batches_of_few_files(table):
     for i in range(7):
         table.drop([(i,)], "id long")
