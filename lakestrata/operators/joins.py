@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.operators.latest import orderable
+
 BUCKET_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 NULL_BUCKETS = 1_024
@@ -58,7 +60,7 @@ def skew_safe_join(
     absent = F.lit(False)
     for key in keys:
         absent = absent | F.col(key).isNull()
-    columns = [F.col(f"`{c}`") for c in many.columns]
+    columns = [F.col(f"`{f.name}`") for f in many.schema if orderable(f.dataType)]
     place = F.xxhash64(*columns) + F.spark_partition_id()
     spread = (
         many.withColumn("_place", place)

@@ -24,15 +24,16 @@ def latest_per_key(
     if not newest_by:
         raise ValueError("newest_by must name at least one column")
     fixed = {*keys, *newest_by}
-    rest = [] if unique else [f.name for f in df.schema if f.name not in fixed and _orderable(f.dataType)]
+    rest = [] if unique else [f.name for f in df.schema if f.name not in fixed and orderable(f.dataType)]
     order = [F.col(f"`{c}`").desc_nulls_last() for c in [*newest_by, *rest]]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def _orderable(kind: T.DataType) -> bool:
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of the type can be sorted and hashed."""
     if isinstance(kind, T.StructType):
-        return all(_orderable(f.dataType) for f in kind)
+        return all(orderable(f.dataType) for f in kind)
     if isinstance(kind, T.ArrayType):
-        return _orderable(kind.elementType)
+        return orderable(kind.elementType)
     return not isinstance(kind, (T.MapType, T.VariantType))

@@ -121,10 +121,11 @@ def reference_check(child: DataFrame, parent: DataFrame, child_key: str, parent_
 def one_to_one_check(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Row counts, repeated keys and unmatched keys of both sides; all zero apart from equal counts is 1:1.
 
-    Both sides are reduced to one row per key, so one shuffle on the key answers everything.
+    Both sides are counted per key in one aggregation, so a single shuffle answers everything.
     """
-    a = left.groupBy(F.col(left_key).alias("k")).agg(F.count(F.lit(1)).alias("a"), F.lit(0).cast("long").alias("b"))
-    b = right.groupBy(F.col(right_key).alias("k")).agg(F.lit(0).cast("long").alias("a"), F.count(F.lit(1)).alias("b"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    a = left.select(F.col(left_key).alias("k"), one.alias("a"), none.alias("b"))
+    b = right.select(F.col(right_key).alias("k"), none.alias("a"), one.alias("b"))
     both = a.unionByName(b).groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     return both.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("left_rows"),

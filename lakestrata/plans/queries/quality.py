@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lakestrata.operators import aggregate, changes, layout, quality
 from lakestrata.plans.queries import Registered, table
 from lakestrata.session import new_scratch
-from lakestrata.sources.tables import write_files
+from lakestrata.sources.checked import checked_refresh
+from lakestrata.sources.tables import current_version, write_files
 
 LINE_RULES = {
     "price_positive": "l_extendedprice > 0",
@@ -35,6 +36,13 @@ def j2_drop_unmet(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_shipdate")
 
 
+def j2_drop_on_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Counted, dropped and published in one write."""
+    root = new_scratch(spark, "j2")
+    checked_refresh(table(spark, sf, "lineitem"), root, LINE_RULES, unmet="drop")
+    return current_version(spark, root).select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_shipdate")
+
+
 def j3_key_check(spark: SparkSession, sf: str) -> DataFrame:
     return quality.key_check(table(spark, sf, "orders"), "o_orderkey")
 
@@ -111,6 +119,7 @@ QUERIES: Registered = {
     "j1_expectations": (j1_expectations, _report_sql()),
     "j1_observed_expectations": (j1_observed_expectations, _report_sql()),
     "j2_drop_unmet": (j2_drop_unmet, _drop_sql()),
+    "j2_drop_on_write": (j2_drop_on_write, _drop_sql()),
     "j3_key_check": (j3_key_check, """SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS distinct_keys,
         count(*) FILTER (o_orderkey > 0) AS positive_keys, count(DISTINCT o_orderkey) = count(*) AS is_unique,
         count(*) FILTER (o_orderkey > 0) = count(*) AS is_positive FROM orders"""),

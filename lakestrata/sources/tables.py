@@ -52,13 +52,18 @@ def publish(df: DataFrame, root: str, folder: str) -> None:
     The job writes below ``_staging``, which Spark's readers skip; one rename shows it.
     A folder that is already there is left alone, so a replayed unit changes nothing.
     """
-    spark = df.sparkSession
-    final = f"{root}/{folder}"
-    if fs.exists(spark, final):
-        return
-    staging = f"{root}/_staging/{folder}"
-    df.write.mode("overwrite").parquet(staging)
-    fs.rename(spark, staging, final)
+    if not fs.exists(df.sparkSession, f"{root}/{folder}"):
+        stage(df, root, folder)
+        show(df.sparkSession, root, folder)
+
+
+def stage(df: DataFrame, root: str, folder: str) -> None:
+    """Write a folder that readers do not see yet; what an earlier attempt left there is replaced."""
+    df.write.mode("overwrite").parquet(f"{root}/_staging/{folder}")
+
+
+def show(spark: SparkSession, root: str, folder: str) -> None:
+    fs.rename(spark, f"{root}/_staging/{folder}", f"{root}/{folder}")
 
 
 def numbered(spark: SparkSession, root: str, key: str) -> list[int]:
@@ -75,15 +80,23 @@ def full_refresh(df: DataFrame, root: str, keep: int = 2) -> str:
 
     Readers of the version before stay undisturbed, and ``df`` may itself read ``root``.
     """
+    spark = df.sparkSession
+    folder = next_version(spark, root)
+    publish(df, root, folder)
+    drop_versions(spark, root, keep)
+    return f"{root}/{folder}"
+
+
+def next_version(spark: SparkSession, root: str) -> str:
+    return f"version={max(numbered(spark, root, 'version'), default=-1) + 1}"
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` versions."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    spark = df.sparkSession
-    versions = numbered(spark, root, "version")
-    number = versions[-1] + 1 if versions else 0
-    publish(df, root, f"version={number}")
-    for old in versions[: max(0, len(versions) + 1 - keep)]:
+    for old in numbered(spark, root, "version")[:-keep]:
         fs.delete(spark, f"{root}/version={old}")
-    return f"{root}/version={number}"
 
 
 def current_version(spark: SparkSession, root: str) -> DataFrame:

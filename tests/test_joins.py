@@ -38,6 +38,11 @@ def test_copies_of_one_row_spread(spark):
     assert joined.count() == 4000
 
 
+def test_map_columns_may_travel(spark):
+    df = many(spark).withColumn("m", F.create_map(F.lit("a"), F.col("v")))
+    assert skew_safe_join(df, one(spark), ["k"], "inner", 10).count() == df.join(one(spark), "k").count()
+
+
 def test_unknown_how(spark):
     with pytest.raises(ValueError):
         skew_safe_join(many(spark), one(spark), ["k"], "cross")

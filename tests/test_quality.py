@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators import project, quality, synth
 from lakestrata.operators.aggregate import class_shares
+from lakestrata.sources.checked import checked_refresh
+from lakestrata.sources.tables import current_version
 from tests.conftest import SMALL
 
 RULES = {"positive": "v > 0", "known": "v IS NOT NULL"}
@@ -42,6 +44,21 @@ def test_drop_and_fail(df):
     quality.fail_unmet(quality.expectation_report(df.filter("v > 0"), RULES))
 
 
+def test_checked_refresh(spark, df, tmp_path):
+    root = f"{tmp_path}/t"
+    assert as_dict(checked_refresh(df, root, RULES)) == WANT
+    assert current_version(spark, root).count() == 4
+    assert as_dict(checked_refresh(df, root, RULES, unmet="drop")) == WANT
+    assert [r["id"] for r in current_version(spark, root).collect()] == [1]
+    with pytest.raises(quality.ExpectationError):
+        checked_refresh(df, root, RULES, unmet="fail")
+    assert [r["id"] for r in current_version(spark, root).collect()] == [1]  # nothing was published
+    checked_refresh(df.filter("id = 1").withColumn("id", F.lit(7)), root, RULES, unmet="fail")
+    assert [r["id"] for r in current_version(spark, root).collect()] == [7]
+    with pytest.raises(ValueError):
+        checked_refresh(df, root, RULES, unmet="ignore")
+
+
 def test_date_rule_against_text(spark):
     dates = spark.createDataFrame([("2008-12-31",), ("2009-01-01",)], "d string").select(F.to_date("d").alias("d"))
     assert as_dict(quality.expectation_report(dates, {"adult": "d < '2009-01-01'"})) == {"adult": (1, 1, 0)}
