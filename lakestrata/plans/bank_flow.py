@@ -73,7 +73,7 @@ class BankTables:
         folder = f"{self.root}/bronze/{source}"
         ingest.ingest_files(
             self.spark, self.landing[source], f"{folder}/table", f"{folder}/checkpoint", f"{folder}/schema",
-            lead=LEAD[source],
+            lead=LEAD[source], sort_by=LEAD[source],
         )
 
     def _update_customers(self) -> None:

@@ -51,7 +51,7 @@ def key_refresh(
                 return
             rows = read_keyed(spark, target, schema, touched).unionByName(batch)
             newest = latest_per_key(rows, keys, newest_by).withColumn(BUCKET, bucket_of(keys, buckets))
-            _publish_buckets(newest, target, number)
+            _publish_buckets(newest, target, number, keys)
         finally:
             batch.unpersist()
 
@@ -83,15 +83,19 @@ def join_refresh(
         return []
     built = build(read_keyed(spark, *left, changed), read_keyed(spark, *right, changed))
     number = done[-1] + 1 if done else 0
-    _publish_buckets(built.withColumn(BUCKET, bucket_of(keys, buckets)), target, number, json.dumps(now))
+    _publish_buckets(built.withColumn(BUCKET, bucket_of(keys, buckets)), target, number, keys, json.dumps(now))
     return changed
 
 
-def _publish_buckets(df: DataFrame, target: str, number: int, built_from: str | None = None) -> None:
+def _publish_buckets(
+    df: DataFrame, target: str, number: int, keys: Sequence[str], built_from: str | None = None
+) -> None:
     spark = df.sparkSession
     staging = f"{target}/_staging/{BATCH}={number}"
-    # rebalance gathers the rows of a bucket, and splits again what is too large for one file
-    df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(staging)
+    # rebalance gathers the rows of a bucket, and splits again what is too large for one file;
+    # sorted files let a reader of few keys skip most row groups
+    ordered = df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *keys)
+    ordered.write.partitionBy(BUCKET).mode("overwrite").parquet(staging)
     if built_from is not None:
         fs.write_text(spark, f"{staging}/{_BUILT_FROM}", built_from)
     fs.rename(spark, staging, f"{target}/{BATCH}={number}")

@@ -69,12 +69,12 @@ def test_from_settings(spark, tmp_path):
     columns = ("Clave", "Valor")
     pairs = {"TipoStorage": "AmazonS3", "bucketS3": "b"}
     replace_settings(spark, name, pairs, columns)
-    folders = {"customers": "as400/c/", "balances": "as400/b/", "transactions": "as400/t/"}
+    folders = {"customers": "landing/c/", "balances": "landing/b/", "transactions": "landing/t/"}
     with pytest.raises(KeyError, match="TiposTransaccionesLabBase"):
         BankTables.from_settings(spark, name, folders, "r", columns)
     replace_settings(spark, name, {**pairs, bank.TYPE_CODES_KEY: "X,Y,Z"}, columns)
     made = BankTables.from_settings(spark, name, folders, "r", columns, buckets=2)
-    assert made.landing["balances"] == "s3://b/as400/b/" and made.type_codes == "X,Y,Z" and made.buckets == 2
+    assert made.landing["balances"] == "s3://b/landing/b/" and made.type_codes == "X,Y,Z" and made.buckets == 2
     spark.sql(f"DROP TABLE {name}")
 
 
