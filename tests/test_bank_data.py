@@ -93,3 +93,27 @@ def test_flow_over_two_days(spark, master, tmp_path):
     assert snapshot_changes(names, today.select("CUSTID", "CUSNM"), ["CUSTID"]).count() == 0
     rules = {r["rule"]: r for r in kept.expectations().filter("rule LIKE '%positivo'").collect()}
     assert rules["limite_credito_positivo"]["unmet"] == 0 and rules["monto_neto_positivo"]["unmet"] > 0
+
+
+def test_flow_over_files_without_rows(spark, master, tmp_path):
+    landing = {s: f"{tmp_path}/landing/{s}" for s in ("customers", "balances", "transactions")}
+    kept = BankTables(spark, landing, f"{tmp_path}/tables", buckets=2)
+    frames = {
+        "customers": master,
+        "balances": bank_data.balances(master),
+        "transactions": bank_data.transactions(master, 10, "2026-01-01"),
+    }
+    for name, df in frames.items():
+        df.limit(0).write.parquet(f"{landing[name]}/dia=1")
+    kept.update()
+    assert {r["rows"] for r in kept.counts().collect()} == {0}
+    assert len(kept.profile().columns) == 22
+    assert kept.customers().columns[:2] == list(bank.CUSTOMER_CLUSTER)
+
+    # customers and transactions arrive, balances do not
+    for name in ("customers", "transactions"):
+        frames[name].write.parquet(f"{landing[name]}/dia=2")
+    kept.update()
+    assert kept.customers().count() == N
+    assert kept.customers().filter("categoria_saldo_disponible <> 'SIN_SALDO' OR saldo_disponible IS NOT NULL").count() == 0
+    assert kept.profile().count() == frames["transactions"].select("CUSTID").distinct().count()
