@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import chat, quality_rules, url_filters
+import public_tokenizers
+
+from lakestrata.llm import chat, fingerprints, packing, quality_rules, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -28,6 +30,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "stratum")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+    return packed.drop("ids")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"])), " ")
@@ -38,5 +53,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, None),
     "op2_quality_rules": (op2_quality_rules, None),
+    "op4_document_fingerprints": (op4_document_fingerprints, None),
+    "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
 }
