@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakestrata.llm import chat, fingerprints, packing, quality_rules, url_filters
+from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_rules, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -34,6 +34,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(
         table(spark, sf_dir, "documents"),
@@ -54,6 +58,7 @@ QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, None),
     "op2_quality_rules": (op2_quality_rules, None),
     "op4_document_fingerprints": (op4_document_fingerprints, None),
+    "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
 }
