@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_rules, url_filters
+from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_rules, repeats, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -54,6 +54,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated.select("conv_id", "part", "speaker", "n_turns", "rendered", spans.alias("loss_spans"), chars.alias("loss_chars"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, None),
     "op2_quality_rules": (op2_quality_rules, None),
@@ -61,4 +65,5 @@ QUERIES: Registered = {
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
+    "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }
