@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_rules, repeats, url_filters
+from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_classifier, quality_rules, repeats, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -30,6 +30,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "stratum")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, None),
     "op2_quality_rules": (op2_quality_rules, None),
+    "op3_quality_classifier": (op3_quality_classifier, None),
     "op4_document_fingerprints": (op4_document_fingerprints, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
