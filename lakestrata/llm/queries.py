@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_classifier, quality_rules, repeats, url_filters
+from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_classifier, quality_rules, repeats, sampled_pieces, token_counts, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -42,6 +42,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(
         table(spark, sf_dir, "documents"),
@@ -58,6 +62,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated.select("conv_id", "part", "speaker", "n_turns", "rendered", spans.alias("loss_spans"), chars.alias("loss_chars"))
 
 
+def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_pieces.sampled_encoding(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"))
 
@@ -68,7 +76,9 @@ QUERIES: Registered = {
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op4_document_fingerprints": (op4_document_fingerprints, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
+    "op6_token_counts": (op6_token_counts, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
+    "op9_sampled_pieces": (op9_sampled_pieces, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }
