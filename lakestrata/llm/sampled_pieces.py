@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.unigram import PRETOKEN, Vocabulary, vocabulary
-from lakestrata.llm.words import mix, numbers, slices
+from lakestrata.llm.words import _tables, mix, numbers, slices
 
 U64 = np.uint64
 SHARPNESS = 0.5
@@ -23,71 +23,125 @@ STEPS = numbers(31, 64)
 TINY, LIFT = 1e-150, 1e150
 
 
-class Lattices(dict):
-    """The filtered lattices of all pre-tokens met, in flat arrays; maps a pre-token to its end node.
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
-    A node is a place in a pre-token. Its edges are the pieces that end there, one after the other
-    from ``first``; ``bounds`` has their chances summed up. Past ``limit`` nodes it starts anew
-    between slices, which changes no draw: chances depend on the pre-token alone.
+
+class _Sums:
+    """Hashes of any part of a text in one step each, from running sums over its characters."""
+
+    def __init__(self, codes: np.ndarray):
+        up, self.down = _tables(len(codes) + 1)
+        self.sums = np.zeros(len(codes) + 1, U64)
+        np.cumsum(mix(codes.astype(U64) + U64(1)) * up[: len(codes)], out=self.sums[1:])
+
+    def part(self, start: np.ndarray, size: int) -> np.ndarray:
+        return (self.sums[start + size] - self.sums[start]) * self.down[start]
+
+
+class Lattices:
+    """The filtered lattices of all pre-tokens met, in flat arrays.
+
+    A node is a place in a pre-token, ``end`` maps a pre-token to its last one. Its edges are the
+    pieces that end there, one after the other from ``first``; ``bounds`` has their chances summed
+    up. Past ``limit`` nodes it starts anew between slices, which changes no draw: chances depend on
+    the pre-token alone.
     """
 
     def __init__(self, vocab: Vocabulary, sharpness: float = SHARPNESS, limit: int = LATTICE_NODES):
         self.vocab, self.limit = vocab, limit
-        # of every prefix of a piece: the piece's id and weight, or -1
-        self.pieces_by_prefix = {
-            prefix: (i, math.exp(sharpness * vocab.logp[i]) if i >= 0 else 0.0) for prefix, i in vocab.prefixes.items()
-        }
+        prefixes = list(vocab.prefixes.items())
+        hashes = np.concatenate([_Sums(_codes(p)).part(np.zeros(1, np.int64), len(p)) for p, _ in prefixes])
+        order = np.argsort(hashes)
+        self.known = hashes[order]
+        self.piece = np.array([i for _, i in prefixes], np.int32)[order]
+        self.weight = np.array([math.exp(sharpness * vocab.logp[i]) if i >= 0 else 0.0 for _, i in prefixes])[order]
         self.byte_weight = math.exp(sharpness * vocab.fallback)
         self._empty()
 
     def _empty(self) -> None:
-        self.clear()
+        self.end: dict[str, int] = {}
         self.first = array("q")
         self.bounds, self.sources, self.ids = array("d"), array("i"), array("i")
 
-    def start(self) -> None:
-        """Make room before a slice, so that no lattice goes while it is in use."""
+    def add(self, tokens: Iterable[str]) -> None:
+        """Filter the lattices of all pre-tokens that are new."""
         if len(self.first) > self.limit:
             self._empty()
+        new = [t for t in set(tokens) if t not in self.end]
+        if not new:
+            return
+        text = "".join(new)
+        size = np.array([len(t) for t in new], np.int64)
+        stop = np.cumsum(size)
+        edges = self._edges(text, np.repeat(stop, size))
+        begin = np.repeat(stop - size, size)
+        start, end, ids, shares = self._filtered(*edges, begin)
+        base = len(self.first)
+        counts = np.bincount(end, minlength=len(text))
+        firsts = np.cumsum(counts) - counts
+        running = np.cumsum(shares)
+        bounds = running - np.repeat(np.append(0.0, running)[firsts], counts)
+        bounds[firsts + counts - 1] = 2.0
+        self.first.frombytes((firsts + len(self.bounds)).astype(np.int64).tobytes())
+        self.bounds.frombytes(bounds.tobytes())
+        self.sources.frombytes(np.where(start > begin[end], base + start - 1, -1).astype(np.int32).tobytes())
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.end.update(zip(new, (base + stop - 1).tolist()))
+
+    def _edges(self, text: str, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Start, last character, id and weight of every piece in the joined pre-tokens.
+
+        A character that is no piece itself is an edge with id -1 - c.
+        """
+        codes = _codes(text)
+        sums = _Sums(codes)
+        alive = np.arange(len(codes))
+        single = np.zeros(len(codes), bool)
+        found = []
+        for length in range(1, self.vocab.longest + 1):
+            alive = alive[alive + length <= stops[alive]]
+            part = sums.part(alive, length)
+            at = np.minimum(np.searchsorted(self.known, part), len(self.known) - 1)
+            hit = self.known[at] == part
+            alive, at = alive[hit], at[hit]
+            whole = self.piece[at] >= 0
+            if length == 1:
+                single[alive[whole]] = True
+            found.append((alive[whole], alive[whole] + length - 1, self.piece[at[whole]], self.weight[at[whole]]))
+        odd = np.flatnonzero(~single)
+        width = 1 + (codes[odd] >= 0x80).astype(int) + (codes[odd] >= 0x800) + (codes[odd] >= 0x10000)
+        found.append((odd, odd, -1 - codes[odd].astype(np.int64), self.byte_weight**width))
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    def _filtered(self, start, end, ids, weight, begin) -> tuple[np.ndarray, ...]:
+        """Edges in order of their end with their share of its forward sum.
 
-    def __missing__(self, token: str) -> int:
-        size, known = len(token), self.pieces_by_prefix.get
-        first, bounds, sources, ids = self.first, self.bounds, self.sources, self.ids
-        base = len(first)
-        incoming: list[list] = [[] for _ in range(size + 1)]
-        forward = 1.0
-        for at in range(size + 1):
-            if at:
-                edges = incoming[at]
-                incoming[at] = None
-                forward = sum([e[1] for e in edges])
-                first.append(len(bounds))
-                share = 0.0
-                for source, weight, piece in edges:
-                    share += weight / forward
-                    bounds.append(share)
-                    sources.append(source)
-                    ids.append(piece)
-                bounds[-1] = 2.0
-                if forward < TINY:  # lift all that still counts together
-                    forward *= LIFT
-                    for later in incoming[at + 1 : at + 1 + self.vocab.longest]:
-                        later[:] = [(source, weight * LIFT, piece) for source, weight, piece in later]
-            if at == size:
-                break
-            source = base + at - 1 if at else -1
-            end = at + 1
-            found = known(token[at:end])
-            if found is None or found[0] < 0:
-                char = token[at]
-                incoming[end].append((source, forward * self.byte_weight ** len(char.encode()), -1 - ord(char)))
-            while found is not None:
-                if found[0] >= 0:
-                    incoming[end].append((source, forward * found[1], found[0]))
-                end += 1
-                found = known(token[at:end]) if end <= size else None
-        self[token] = base + size - 1
-        return base + size - 1
+        All pre-tokens advance together, one character at a time. Sums that become tiny are lifted
+        with all that still count beside them.
+        """
+        depth = end - begin[end]
+        order = np.lexsort((start, end, depth))
+        start, end, ids, weight, depth = (x[order] for x in (start, end, ids, weight, depth))
+        forward = np.zeros(len(begin))
+        shares = np.zeros(len(start))
+        cuts = np.flatnonzero(np.diff(depth)) + 1
+        for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(start)).tolist()):
+            s, e = start[a:b], end[a:b]
+            inner = s > begin[e]
+            part = np.where(inner, forward[s - 1], 1.0) * weight[a:b]
+            heads = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
+            total = np.add.reduceat(part, heads)
+            at = e[heads]
+            shares[a:b] = part / np.repeat(total, np.diff(np.append(heads, len(e))))
+            forward[at] = total
+            tiny = at[total < TINY]
+            if len(tiny):
+                back = (tiny[:, None] - np.arange(self.vocab.longest + 1)).ravel()
+                low = np.repeat(begin[tiny], self.vocab.longest + 1)
+                forward[back[back >= low]] *= LIFT
+        order = np.lexsort((start, end))
+        return start[order], end[order], ids[order], shares[order]
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         """First edges of the nodes; bounds, source nodes (-1 at the start) and piece ids of the
@@ -114,11 +168,11 @@ def _uniform(seeds: np.ndarray, step: int) -> np.ndarray:
 
 def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a drawn segmentation of every text, one after the other, and the texts' offsets."""
-    lattices.start()
     found = [PRETOKEN.findall(t) for t in texts]
     counts = np.array([len(f) for f in found], np.int64)
     total = int(counts.sum())
-    node = np.fromiter(map(lattices.__getitem__, chain.from_iterable(found)), np.int64, total)
+    lattices.add(chain.from_iterable(found))
+    node = np.fromiter(map(lattices.end.__getitem__, chain.from_iterable(found)), np.int64, total)
     first, bounds, sources, pieces = lattices.arrays()
     place = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
     seed = mix(np.repeat(seeds, counts) ^ mix(place.astype(U64) + U64(1)))
