@@ -18,6 +18,8 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
+RISK = 0.01
+CONFIDENCE = 0.95
 
 #: Cutoffs tried per metric, most lenient first; a document is rejected above its cutoff.
 SHARES = tuple(round(0.95 - 0.05 * i, 2) for i in range(19)) + (0.04, 0.03, 0.02, 0.01)
@@ -124,8 +126,8 @@ def risk_controlled_cutoffs(
     good: DataFrame,
     stratum: str,
     grids: Mapping[str, Sequence[float]] = GRIDS,
-    risk: float = 0.01,
-    confidence: float = 0.95,
+    risk: float = RISK,
+    confidence: float = CONFIDENCE,
 ) -> DataFrame:
     """``(stratum, metric, good, cutoff)``: the strictest safe cutoff per stratum and metric.
 
@@ -171,6 +173,32 @@ def risk_controlled_cutoffs(
     )
 
 
+def _judged(documents: DataFrame, labels: DataFrame, key: str, text: str, stratum: str, label: str, risk: float, confidence: float) -> DataFrame:
+    """Counts and verdict of every row as ``(key, stratum, _version, ...)``; ``_version`` is the text's hash."""
+    spark = documents.sparkSession
+    path = new_scratch(spark, "features")
+    rows = documents.select(
+        key, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"), version_of(text).alias("_version"), F.col(text).alias("_whole")
+    )
+    features = text_features(rows, "_whole", [key, "_stratum", "_version"])
+    features.write.parquet(path)
+    stored = spark.read.schema(features.schema).parquet(path)
+    good = labels.filter(F.col(label) == 1).select(F.col(key).alias("_good")).distinct()
+    holdout = stored.filter(~F.col("base_failed")).join(good, stored[key] == good["_good"], "left_semi")
+    cutoffs = risk_controlled_cutoffs(holdout, "_stratum", GRIDS, risk, confidence).groupBy(F.col("stratum").alias("_stratum")).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "cutoff"))).alias("_cutoffs")
+    )
+    judged = stored.join(cutoffs, "_stratum", "left")
+    bad = F.lit(False)
+    for metric in GRIDS:
+        bad = bad | F.coalesce(F.col(metric) > F.element_at("_cutoffs", F.lit(metric)), F.lit(False))
+    return judged.withColumn("kept", ~F.col("base_failed") & ~bad).drop("_cutoffs")
+
+
+def version_of(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def judge_documents(
     documents: DataFrame,
     labels: DataFrame,
@@ -178,32 +206,32 @@ def judge_documents(
     text: str = "text",
     stratum: str = "lang",
     label: str = "quality",
-    risk: float = 0.01,
-    confidence: float = 0.95,
+    risk: float = RISK,
+    confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """Every document as ``(key, stratum, counts, base_failed, kept)``.
+    """Every document as ``(key, counts, metrics, base_failed, kept, stratum)``.
 
-    ``kept`` is false for a base failure, and where a metric exceeds its stratum's cutoff (NaN and
-    NULL metrics do not arise: divisors are at least one). Labels with another value than 0 or 1,
-    of unknown or NULL keys are ignored; a key labelled both ways counts as good once. Repeated
-    documents stay; NULL strata are the stratum ``""``. Counts are written once to the shared
-    scratch folder, for both the cutoffs and the verdicts.
+    ``kept`` is false for a base failure, and where a metric exceeds its stratum's cutoff. Labels
+    with another value than 0 or 1, of unknown or NULL keys are ignored; a key labelled both ways
+    counts as good once. Repeated documents stay; NULL strata are the stratum ``""``, NULL texts
+    empty. Counts are written once to the shared scratch folder, for both cutoffs and verdicts.
     """
-    spark = documents.sparkSession
-    path = new_scratch(spark, "features")
-    features = text_features(
-        documents.select(key, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), text), text, [key, "stratum"]
-    )
-    features.write.parquet(path)
-    stored = spark.read.schema(features.schema).parquet(path)
-    good = labels.filter(F.col(label) == 1).select(key).distinct()
-    holdout = stored.filter(~F.col("base_failed")).join(good, key, "left_semi")
-    cutoffs = risk_controlled_cutoffs(holdout, "stratum", GRIDS, risk, confidence).groupBy("stratum").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "cutoff"))).alias("_cutoffs")
-    )
-    judged = stored.join(cutoffs, "stratum", "left")
-    beyond = [F.coalesce(F.col(m) > F.element_at("_cutoffs", F.lit(m)), F.lit(False)) for m in GRIDS]
-    bad = beyond[0]
-    for one in beyond[1:]:
-        bad = bad | one
-    return judged.withColumn("kept", ~F.col("base_failed") & ~bad).drop("_cutoffs")
+    judged = _judged(documents, labels, key, text, stratum, label, risk, confidence)
+    return judged.drop("_version").withColumnRenamed("_stratum", "stratum")
+
+
+def keep_documents(
+    documents: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    stratum: str = "lang",
+    label: str = "quality",
+    risk: float = RISK,
+    confidence: float = CONFIDENCE,
+) -> DataFrame:
+    """The rows of ``documents`` that ``judge_documents`` keeps; same columns."""
+    judged = _judged(documents, labels, key, text, stratum, label, risk, confidence)
+    gone = judged.filter("not kept").select(F.col(key).alias("_gone"), F.col("_version").alias("_gone_version")).distinct()
+    same = documents[key].eqNullSafe(F.col("_gone")) & (version_of(text) == F.col("_gone_version"))
+    return documents.join(gone, same, "left_anti")

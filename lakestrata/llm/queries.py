@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+import corpus_pipeline
 from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_classifier, quality_rules, repeats, sampled_pieces, token_counts, url_filters
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
@@ -80,5 +81,6 @@ QUERIES: Registered = {
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_chat_formatting": (op8_chat_formatting, None),
     "op9_sampled_pieces": (op9_sampled_pieces, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }
