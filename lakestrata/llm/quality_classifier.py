@@ -172,7 +172,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _partition_sums(rows: DataFrame, moments) -> np.ndarray:
     """The sum over all rows of an array that ``moments(statistics, labels)`` gives per batch.
 
-    Tasks send one array each; those are added in groups, then the groups' sums.
+    Tasks send one array each; those are added in groups, then the groups' sums, of which there are
+    ``SUM_GROUPS`` at most; one array reaches the driver.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,16 +189,16 @@ def _partition_sums(rows: DataFrame, moments) -> np.ndarray:
         return pd.DataFrame({"sums": [total.tobytes()]})
 
     sums = rows.select("statistics", "label").mapInArrow(run, "sums binary")
-    grouped = sums.groupBy(F.spark_partition_id() % SUM_GROUPS).applyInPandas(add, "sums binary").collect()
-    return sum(np.frombuffer(r["sums"]) for r in grouped) if grouped else np.zeros(0)
+    grouped = sums.groupBy(F.spark_partition_id() % SUM_GROUPS).applyInPandas(add, "sums binary")
+    found = grouped.groupBy().applyInPandas(add, "sums binary").collect()
+    return np.frombuffer(found[0]["sums"]) if found else np.zeros(0)
 
 
 def fit(labelled: DataFrame, features: int = FEATURES, ridge: float = RIDGE) -> Model:
     """A model from ``(_key, statistics, label)`` rows outside the held-out fold.
 
     One fold calibrates, the others fit. Everything that reaches the driver is of fixed size: the
-    sums of two moments per statistic, one ``features`` square matrix per group of tasks, and the
-    calibration bins. Without rows to fit, every score is 0.5; without rows to calibrate, scores are
+    sums of two moments per statistic, one ``features`` square matrix, and the calibration bins. Without rows to fit, every score is 0.5; without rows to calibrate, scores are
     the clipped fit.
     """
     fold = fold_of("_key")

@@ -18,18 +18,21 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
-RISK = 0.01
+RISK = 0.04
 CONFIDENCE = 0.95
 
-#: Cutoffs tried per metric, most lenient first; a document is rejected above its cutoff.
-SHARES = tuple(round(0.95 - 0.05 * i, 2) for i in range(19)) + (0.04, 0.03, 0.02, 0.01)
+def _down_to(least: float) -> tuple[float, ...]:
+    """Shares from 0.95 down in steps of 0.05."""
+    return tuple(round(0.95 - 0.05 * i, 2) for i in range(round((0.95 - least) / 0.05) + 1))
+
+
+#: Cutoffs tried per metric, most lenient first; a document is rejected above its cutoff. The last
+#: ones are as strict as a rule should ever be: proven risk is spent no further than that.
 GRIDS: Mapping[str, Sequence[float]] = {
-    "symbol_share": SHARES,
-    "dup_line_share": SHARES,
-    "repeat_word_share": SHARES,
-    "capital_share": SHARES,
-    "bang_share": SHARES,
-    "same_word_share": SHARES,
+    "symbol_share": _down_to(0.05),
+    "capital_share": _down_to(0.30),
+    "repeat_word_share": _down_to(0.20),
+    "dup_line_share": _down_to(0.30),
 }
 
 
@@ -90,17 +93,13 @@ def text_features(documents: DataFrame, text: str = "text", keep: Sequence[str]
             ).alias("n_repeat_words"),
             F.size("_lines").alias("_n_lines"),
             F.length(F.regexp_replace("_joined", r"[^\p{Lu}]+", "")).alias("_capitals"),
-            F.length(F.regexp_replace("_joined", r"[^!]+", "")).alias("_bangs"),
-            F.size(F.array_distinct("_words")).alias("_n_distinct"),
         )
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .withColumn("symbol_share", F.col("n_symbols") / chars)
         .withColumn("dup_line_share", F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1)))
         .withColumn("repeat_word_share", F.col("n_repeat_words") / words)
         .withColumn("capital_share", F.col("_capitals") / chars)
-        .withColumn("bang_share", F.col("_bangs") / chars)
-        .withColumn("same_word_share", 1 - F.col("_n_distinct") / words)
-        .drop("_n_lines", "_capitals", "_bangs", "_n_distinct")
+        .drop("_n_lines", "_capitals")
     )
 
 
