@@ -29,8 +29,8 @@ ANCHOR_BYTES = 2 << 20
 CHUNK_CONTEXTS = 4096
 
 # of a place row: place << 16 | bytes from context start to anchor << 8 | string starts in the context
-PLACES_SCHEMA = "seed long, context long, _key long, version long, place long"
-SPANS_SCHEMA = "_key long, version long, start long, stop long"
+PLACES_SCHEMA = "seed long, context long, _key long, _version long, place long"
+SPANS_SCHEMA = "_key long, _version long, start long, stop long"
 
 
 def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -109,14 +109,14 @@ def _find_anchors(least: int, seed: int):
 
     A repeated place is a row without seed: bytes ``place`` to ``context`` of its text.
     """
-    names = ["seed", "context", "_key", "version", "place"]
+    names = ["seed", "context", "_key", "_version", "place"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             parts = []
             for batch in slices(whole, "_text", ANCHOR_BYTES):
                 row, *found = _anchored(*text_bytes(batch.column("_text")), least, seed)
-                parts.append([*(np.asarray(batch.column(c))[row] for c in ("_key", "version")), *found])
+                parts.append([*(np.asarray(batch.column(c))[row] for c in ("_key", "_version")), *found])
             if not parts:
                 continue
             key, version, place, before, starts, h, c = (np.concatenate(p) for p in zip(*parts))
@@ -141,7 +141,7 @@ def _find_anchors(least: int, seed: int):
 def _compare_contexts(least: int):
     """Rows sorted by (seed, context, place): spans of all but the first occurrence of a context,
     and the first occurrences where a seed has several contexts. A span row has no seed."""
-    names = ["seed", "_key", "version", "start", "stop"]
+    names = ["seed", "_key", "_version", "start", "stop"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.zeros((0, 5), np.int64)
@@ -150,7 +150,7 @@ def _compare_contexts(least: int):
             known = np.asarray(batch.column("seed").is_valid())
             passed = batch.filter(pa.array(~known))
             if passed.num_rows:
-                yield _rows(names, [passed.column(c) for c in ("seed", "_key", "version", "place", "context")])
+                yield _rows(names, [passed.column(c) for c in ("seed", "_key", "_version", "place", "context")])
             batch = batch.filter(pa.array(known))
             if not batch.num_rows:
                 continue
@@ -182,14 +182,14 @@ def _cut_contexts(least: int):
         for whole in batches:
             for batch in slices(whole, "_bytes"):
                 out = []
-                for key, version, text, asked in zip(*(batch.column(c).to_pylist() for c in ("_key", "version", "_bytes", "asked"))):
+                for key, version, text, asked in zip(*(batch.column(c).to_pylist() for c in ("_key", "_version", "_bytes", "asked"))):
                     for one in asked:
                         place = one["start"]
                         low = (place >> 16) - (place >> 8 & 255)
                         out.append((one["seed"], key, version, low, text[low : low + (place & 255) + least]))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["seed", "_key", "version", "start", "bytes"]
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["seed", "_key", "_version", "start", "bytes"]
                 )
 
     return run
@@ -279,10 +279,10 @@ def _index_contexts(least: int, chunk: int):
     A seed with more contexts than a chunk holds is indexed chunk by chunk, and what a chunk leaves
     open goes out as rows with a 128-bit hash of the string, to be settled across chunks.
     """
-    names = ["_key", "version", "start", "stop", "hash_a", "hash_b"]
+    names = ["_key", "_version", "start", "stop", "hash_a", "hash_b"]
 
     def settle(held: pa.Table, split: bool) -> Iterator[pa.RecordBatch]:
-        rows = np.stack([np.asarray(held.column(c)) for c in ("seed", "_key", "version", "start")], axis=1)
+        rows = np.stack([np.asarray(held.column(c)) for c in ("seed", "_key", "_version", "start")], axis=1)
         repeated = np.append(False, (rows[1:] == rows[:-1]).all(axis=1))  # of rows given twice
         if repeated.any():
             held, rows = held.filter(pa.array(~repeated)), rows[~repeated]
@@ -331,33 +331,33 @@ def _index_contexts(least: int, chunk: int):
 
 
 def _spans(documents: DataFrame, key: str, text: str, least: int, seed: int, chunk: int) -> DataFrame:
-    """``(_key, version, spans)``: what to remove from each text that has something to remove."""
+    """``(_key, _version, _spans)``: what to remove from each text that has something to remove."""
     spark = documents.sparkSession
     rows = _named(documents, key, text)
-    places = rows.select("_key", "version", "_text").mapInArrow(_find_anchors(least, seed), PLACES_SCHEMA)
-    spread = F.coalesce("seed", F.xxhash64("_key", "version", "place"))
+    places = rows.select("_key", "_version", "_text").mapInArrow(_find_anchors(least, seed), PLACES_SCHEMA)
+    spread = F.coalesce("seed", F.xxhash64("_key", "_version", "place"))
     path = new_scratch(spark, "contexts")
-    places.repartition(spread).sortWithinPartitions("seed", "context", "_key", "version", "place").mapInArrow(
+    places.repartition(spread).sortWithinPartitions("seed", "context", "_key", "_version", "place").mapInArrow(
         _compare_contexts(least), f"seed long, {SPANS_SCHEMA}"
     ).write.parquet(path)
     compared = spark.read.schema(f"seed long, {SPANS_SCHEMA}").parquet(path)
-    asked = compared.filter("seed is not null").groupBy("_key", "version").agg(F.collect_list(F.struct("seed", "start")).alias("asked"))
-    cut = rows.select("_key", "version", F.col("_text").cast("binary").alias("_bytes"))
-    contexts = cut.join(asked, ["_key", "version"]).mapInArrow(
-        _cut_contexts(least), "seed long, _key long, version long, start long, bytes binary"
+    asked = compared.filter("seed is not null").groupBy("_key", "_version").agg(F.collect_list(F.struct("seed", "start")).alias("asked"))
+    cut = rows.select("_key", "_version", F.col("_text").cast("binary").alias("_bytes"))
+    contexts = cut.join(asked, ["_key", "_version"]).mapInArrow(
+        _cut_contexts(least), "seed long, _key long, _version long, start long, bytes binary"
     )
     path = new_scratch(spark, "repeats")
     schema = f"{SPANS_SCHEMA}, hash_a long, hash_b long"
-    contexts.repartition("seed").sortWithinPartitions("seed", "_key", "version", "start").mapInArrow(
+    contexts.repartition("seed").sortWithinPartitions("seed", "_key", "_version", "start").mapInArrow(
         _index_contexts(least, chunk), schema
     ).write.parquet(path)
     indexed = spark.read.schema(schema).parquet(path)
     left = indexed.filter("hash_a is not null")
-    first = left.groupBy("hash_a", "hash_b").agg(F.min(F.struct("_key", "version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    across = left.join(first, ["hash_a", "hash_b"]).filter(F.struct("_key", "version", "start") > F.col("first"))
-    names = ["_key", "version", "start", "stop"]
+    first = left.groupBy("hash_a", "hash_b").agg(F.min(F.struct("_key", "_version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    across = left.join(first, ["hash_a", "hash_b"]).filter(F.struct("_key", "_version", "start") > F.col("first"))
+    names = ["_key", "_version", "start", "stop"]
     spans = compared.filter("seed is null").select(names).unionByName(indexed.filter("hash_a is null").select(names)).unionByName(across.select(names))
-    return spans.groupBy("_key", "version").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy("_key", "_version").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
 
 
 def _named(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -369,7 +369,7 @@ def _named(documents: DataFrame, key: str, text: str) -> DataFrame:
     return documents.select(
         "*",
         F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_key"),
-        F.xxhash64(value).alias("version"),
+        F.xxhash64(value).alias("_version"),
         value.alias("_text"),
     )
 
@@ -393,7 +393,7 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 
 def _apply(documents: DataFrame, key: str, text: str, least: int, seed: int, chunk: int) -> DataFrame:
     spans = _spans(documents, key, text, least, seed, chunk)
-    return _named(documents, key, text).join(spans, ["_key", "version"], "left")
+    return _named(documents, key, text).join(spans, ["_key", "_version"], "left")
 
 
 def repeat_digests(
@@ -410,7 +410,7 @@ def repeat_digests(
         for whole in batches:
             for batch in slices(whole, "_bytes"):
                 out = []
-                for value, spans in zip(batch.column("_bytes").to_pylist(), batch.column("spans").to_pylist()):
+                for value, spans in zip(batch.column("_bytes").to_pylist(), batch.column("_spans").to_pylist()):
                     kept, removed, runs = _kept(value, spans)
                     out.append((len(value), removed, runs, hashlib.sha256(kept).hexdigest()))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
@@ -421,7 +421,7 @@ def repeat_digests(
 
     kind = documents.schema[key].dataType.simpleString()
     joined = _apply(documents.select(key, text), key, text, least, seed, chunk)
-    return joined.select(key, F.col("_text").cast("binary").alias("_bytes"), "spans").mapInArrow(
+    return joined.select(key, F.col("_text").cast("binary").alias("_bytes"), "_spans").mapInArrow(
         run, f"{key} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -455,4 +455,4 @@ def remove_repeats(
 
     names = documents.columns
     joined = _apply(documents, key, text, least, seed, chunk)
-    return joined.select(*(F.col(f"`{c}`") for c in names), F.col("spans").alias("_spans")).mapInArrow(run, documents.schema)
+    return joined.select(*(F.col(f"`{c}`") for c in names), "_spans").mapInArrow(run, documents.schema)
