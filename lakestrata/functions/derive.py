@@ -45,3 +45,9 @@ def percent_of(part: Column | str, whole: Column | str) -> Column:
     """``part`` as a percentage of ``whole``; 0.0 where ``whole`` is NULL or zero."""
     whole = F.col(whole) if isinstance(whole, str) else whole
     return F.when(whole != 0, or_zero(part) / whole * 100).otherwise(F.lit(0.0))
+
+
+def padded(number: Column | str, width: int) -> Column:
+    """Digits with leading zeros, at least ``width`` of them; longer numbers stay whole."""
+    digits = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))

@@ -72,6 +72,31 @@ def conditional_metrics(
     return finish_metrics(partial_metrics(df, key, type_column, value_column, metrics, scale), key, metrics)
 
 
+# The same partials one row per (key, type), of all types: what a refresh keeps, because any list of
+# metrics, also a later one, can be read from them.
+
+
+def typed_partials(df: DataFrame, key: str, type_column: str, value_column: str, scale: int | None = None) -> DataFrame:
+    """``(key, type, n, total)``: number and sum of the non-NULL values per key and type."""
+    value = F.col(value_column)
+    amount = value.cast(f"decimal(18,{scale})") if scale is not None else value.cast("double")
+    return df.groupBy(key, F.col(type_column).alias("type")).agg(F.count(amount).alias("n"), F.sum(amount).alias("total"))
+
+
+def merge_typed(df: DataFrame, key: str) -> DataFrame:
+    total = df.schema["total"].dataType
+    return df.groupBy(key, "type").agg(F.sum("n").alias("n"), F.sum("total").cast(total).alias("total"))
+
+
+def typed_metrics(df: DataFrame, key: str, metrics: Sequence[Metric]) -> DataFrame:
+    """Metrics per key from typed partials, merged or not; every key of ``df`` appears."""
+    columns: list[Column] = []
+    for code in _codes(metrics):
+        chosen = F.col("type") == code
+        columns += [F.sum(F.when(chosen, F.col("n"))).alias(_count(code)), F.sum(F.when(chosen, F.col("total"))).alias(_sum(code))]
+    return finish_metrics(df.groupBy(key).agg(*columns), key, metrics)
+
+
 def _codes(metrics: Sequence[Metric]) -> list[str]:
     return list(dict.fromkeys(m.code for m in metrics))
 

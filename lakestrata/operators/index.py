@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +15,6 @@ from lakestrata.session import new_scratch
 
 ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the low 33 bits
 DIGIT_BITS = 12
-FINAL_ROWS = 100_000
 
 
 def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx", partitions: int | None = None) -> DataFrame:
@@ -54,8 +55,9 @@ def pick_condition(df: DataFrame, keys: Sequence[str], count: int, salt: str) ->
 
     ``keys`` must identify a row. The rows are those with the least (hash, keys), so the choice
     depends on the data alone. No row moves: the boundary is found by counting hash prefixes,
-    12 bits per pass, until the prefix that contains it is small; the condition then compares
-    each row with that boundary.
+    12 bits per pass, until one row is left in the prefix that contains it (or the whole hash is
+    used); the condition then compares each row with that boundary. Rows that ``keys`` don't tell
+    apart raise if the boundary falls among them.
     """
     if count < 0:
         raise ValueError("count must not be negative")
@@ -65,8 +67,6 @@ def pick_condition(df: DataFrame, keys: Sequence[str], count: int, salt: str) ->
     wanted, prefix, bits = count, 0, 0
     while True:
         inside = hashed if bits == 0 else hashed.filter(_prefix(bits) == prefix)
-        if bits + DIGIT_BITS > DRAW_BITS:
-            raise ValueError(f"columns {', '.join(keys)} do not identify a row")
         step = bits + DIGIT_BITS
         # at most 4096 rows by construction of the digit
         digits = inside.groupBy(_prefix(step).alias("p")).count().collect()
@@ -79,11 +79,14 @@ def pick_condition(df: DataFrame, keys: Sequence[str], count: int, salt: str) ->
         if found is None:
             return F.lit(True)
         prefix, bits = found["p"], step
-        if found["count"] <= FINAL_ROWS:
+        if found["count"] == 1 or bits + DIGIT_BITS > DRAW_BITS:
             break
     order = ["_hash", *keys]
     last = hashed.filter(_prefix(bits) == prefix).orderBy(*order).limit(wanted).agg(F.max(F.struct(*order)))
     edge = last.collect()[0][0]
+    alike = [F.col(c).eqNullSafe(F.lit(edge[c])) for c in order]
+    if hashed.filter(reduce(and_, alike)).count() != 1:
+        raise ValueError(f"columns {', '.join(keys)} do not identify a row")
     row = F.struct(draw(salt, *keys).alias("_hash"), *keys)
     return row <= F.struct(*(F.lit(edge[c]).cast(dict(hashed.dtypes)[c]).alias(c) for c in order))
 

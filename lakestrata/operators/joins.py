@@ -1,4 +1,8 @@
-"""Equi-joins that keep the key once, and a form of them that survives hot keys."""
+"""Equi-joins that keep the key once.
+
+Hot keys are left to adaptive execution, which splits the many-row side of inner, left, semi and
+anti joins at run time; nothing here counts rows or changes plan by size.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.operators.latest import orderable
-
-BUCKET_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
-NULL_BUCKETS = 1_024
-
 
 def left_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """LEFT JOIN; unmatched right columns are NULL, right-only rows are dropped."""
@@ -23,64 +21,6 @@ def inner_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(right, list(keys), "inner")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], total: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The keys with more than ``bucket_rows`` of the ``total`` rows, and the buckets each needs.
-
-    ``bucket_rows`` is raised where needed so that fewer than ``MAX_HOT_KEYS`` keys can exceed
-    it: that bound is what makes the result safe to broadcast. NULL keys are never hot.
-    """
-    limit = max(bucket_rows, -(-total // MAX_HOT_KEYS))
-    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    for key in keys:
-        held = held.filter(F.col(key).isNotNull())
-    return held.select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_buckets"))
-
-
-def skew_safe_join(
-    many: DataFrame,
-    one: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    bucket_rows: int = BUCKET_ROWS,
-) -> DataFrame:
-    """``many.join(one, keys, how)`` where a few keys may hold most rows of ``many``.
-
-    Only hot keys are split, each into as many buckets as its rows need; its ``one`` rows are
-    repeated once per bucket. NULL keys match nothing and are spread as well. The bucket follows
-    from the row and its input partition, so whole groups of copies split too, and a retried
-    task puts each row where it was.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"how must be inner, left, left_semi or left_anti, not {how!r}")
-    keys = list(keys)
-    total = many.count()
-    if total <= bucket_rows:
-        return many.join(one, keys, how)
-    hot = F.broadcast(hot_keys(many, keys, total, bucket_rows))
-    absent = F.lit(False)
-    for key in keys:
-        absent = absent | F.col(key).isNull()
-    columns = [F.col(f"`{f.name}`") for f in many.schema if orderable(f.dataType)]
-    place = F.xxhash64(*columns) + F.spark_partition_id()
-    spread = (
-        many.withColumn("_place", place)
-        .join(hot, keys, "left")
-        .withColumn(
-            "_bucket",
-            F.when(absent, F.pmod("_place", F.lit(NULL_BUCKETS)))
-            .otherwise(F.pmod("_place", F.coalesce("_buckets", F.lit(1)))),
-        )
-        .drop("_place", "_buckets")
-    )
-    repeated = (
-        one.join(hot, keys, "left")
-        .withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.coalesce("_buckets", F.lit(1)) - 1)))
-        .withColumn("_bucket", F.col("_bucket").cast("long"))
-        .drop("_buckets")
-    )
-    return spread.join(repeated, [*keys, "_bucket"], how).drop("_bucket")
-
-
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Per child key value without a parent: the key and its number of rows.
 
@@ -97,7 +37,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """The child rows whose non-NULL key has no parent."""
+    """The child rows whose non-NULL key has no parent; NULL keys go before the shuffle."""
     named = child.filter(F.col(child_key).isNotNull())
     known = parent.select(F.col(parent_key).alias(child_key))
-    return skew_safe_join(named, known, [child_key], "left_anti")
+    return named.join(known, child_key, "left_anti")

@@ -121,18 +121,24 @@ def reference_check(child: DataFrame, parent: DataFrame, child_key: str, parent_
 def one_to_one_check(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Row counts, repeated keys and unmatched keys of both sides; all zero apart from equal counts is 1:1.
 
-    Both sides are counted per key in one aggregation, so a single shuffle answers everything.
+    Both sides are counted per key in one aggregation, so a single shuffle answers everything. NULL
+    keys match nothing: their rows are counted per side and enter no other number.
     """
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     a = left.select(F.col(left_key).alias("k"), one.alias("a"), none.alias("b"))
     b = right.select(F.col(right_key).alias("k"), none.alias("a"), one.alias("b"))
     both = a.unionByName(b).groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    known = F.col("k").isNotNull()
+    of = lambda count: F.coalesce(F.sum(F.when(known, F.col(count))), F.lit(0))
+    absent = lambda count: F.coalesce(F.sum(F.when(~known, F.col(count))), F.lit(0))
     return both.agg(
-        F.coalesce(F.sum("a"), F.lit(0)).alias("left_rows"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("right_rows"),
-        F.count_if((F.col("a") > 1) | (F.col("b") > 1)).alias("repeated_keys"),
-        F.count_if(F.col("b") == 0).alias("left_only_keys"),
-        F.count_if(F.col("a") == 0).alias("right_only_keys"),
+        absent("a").alias("left_null_keys"),
+        absent("b").alias("right_null_keys"),
+        of("a").alias("left_rows"),
+        of("b").alias("right_rows"),
+        F.count_if(known & ((F.col("a") > 1) | (F.col("b") > 1))).alias("repeated_keys"),
+        F.count_if(known & (F.col("b") == 0)).alias("left_only_keys"),
+        F.count_if(known & (F.col("a") == 0)).alias("right_only_keys"),
     )
 
 

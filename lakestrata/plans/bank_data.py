@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.derive import padded
 from lakestrata.functions.draws import below, date_in, pick, uniform, weighted
 from lakestrata.operators import synth
 from lakestrata.plans.bank import ACCOUNT_TYPE_WEIGHTS, TRANSACTION_TYPE_WEIGHTS
@@ -145,7 +146,7 @@ def transactions(
     )
     return drawn.withColumns(
         {
-            "TRXID": F.concat("TRXTYP", F.lpad(key.cast("string"), 8, "0")),
+            "TRXID": F.concat("TRXTYP", padded(key, 8)),
             "TRXNT": F.col("TRXAMT") - F.col("TRXCM") - F.col("TRXIM"),
         }
     )

@@ -13,7 +13,7 @@ from lakestrata.operators.quality import expectation_report
 from lakestrata.plans import bank
 from lakestrata.sources import ingest, settings, tables
 from lakestrata.sources.paths import KIND_KEY, resolve_path
-from lakestrata.streaming.append import append_refresh
+from lakestrata.streaming.append import append_refresh, read_appended
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
 from lakestrata.streaming.key_refresh import join_refresh, key_refresh, prune, read_keyed
 
@@ -96,13 +96,14 @@ class BankTables:
         append_refresh(
             self._stream(TRANSACTIONS), self._enrich,
             f"{self.root}/silver/transactions", f"{self.root}/silver/transactions_checkpoint",
+            ["fecha_transaccion", "identificador_cliente"],
         )
         silver = self.spark.readStream.schema(self.transactions().schema).option("maxFileAge", ingest.MAX_FILE_AGE)
         group_refresh(
             silver.parquet(f"{self.root}/silver/transactions"),
             f"{self.root}/gold/activity", f"{self.root}/gold/activity_checkpoint",
             "identificador_cliente", "tipo_transaccion", "monto_principal",
-            bank.atm_metrics_spec(self.type_codes), self.scale,
+            self.scale,
         )
 
     def tidy(self) -> None:
@@ -122,7 +123,7 @@ class BankTables:
 
     def transactions(self) -> DataFrame:
         schema = self._enrich(self.bronze(TRANSACTIONS)).schema
-        return self.spark.read.schema(schema).parquet(f"{self.root}/silver/transactions")
+        return read_appended(self.spark, f"{self.root}/silver/transactions", schema)
 
     def activity(self) -> DataFrame:
         spec = bank.atm_metrics_spec(self.type_codes)

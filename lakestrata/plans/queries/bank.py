@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.derive import padded
 from lakestrata.functions.draws import below, date_in, pick
 from lakestrata.operators import quality
 from lakestrata.plans import bank
@@ -74,7 +75,7 @@ def transactions(spark: SparkSession, sf: str) -> DataFrame:
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     joined = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     return joined.select(
-        F.concat(_recode("l_returnflag", TYPES), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("TRXID"),
+        F.concat(_recode("l_returnflag", TYPES), padded("l_orderkey", 8)).alias("TRXID"),
         F.col("o_custkey").alias("CUSTID"),
         _recode("l_returnflag", TYPES).alias("TRXTYP"),
         F.when(F.col("l_linestatus") == "F", F.lit("USD")).alias("TRXCUR"),
@@ -178,7 +179,7 @@ SELECT *, coalesce(monto_principal, 0) - coalesce(comision_transaccion, 0) AS mo
        ELSE 0.0 END AS porcentaje_comision_sobre_monto,
   coalesce(saldo_posterior, 0) - coalesce(saldo_anterior, 0) AS variacion_saldo_transaccion,
   coalesce(monto_principal, 0) * coalesce(riesgo_transaccion, 0) AS indicador_impacto_financiero
-FROM (SELECT {_case('l_returnflag', TYPES)} || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS identificador_transaccion,
+FROM (SELECT {_case('l_returnflag', TYPES)} || lpad(CAST(l_orderkey AS VARCHAR), greatest(8, length(CAST(l_orderkey AS VARCHAR)))::INT, '0') AS identificador_transaccion,
     o_custkey AS identificador_cliente, {_case('l_returnflag', TYPES)} AS tipo_transaccion,
     CASE WHEN l_linestatus = 'F' THEN 'USD' END AS moneda_transaccion, CASE WHEN l_tax <> 0 THEN l_extendedprice END AS monto_principal,
     l_quantity * 2 AS comision_transaccion, l_quantity AS saldo_posterior, nullif(l_discount, 0) AS saldo_anterior,

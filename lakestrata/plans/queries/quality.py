@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators import aggregate, changes, layout, quality
+from lakestrata.plans.queries.relational import COUNTED
 from lakestrata.plans.queries import Registered, table
 from lakestrata.session import new_scratch
 from lakestrata.sources.checked import checked_refresh
@@ -48,13 +49,14 @@ def j3_key_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def j4_reference_check(spark: SparkSession, sf: str) -> DataFrame:
-    large = table(spark, sf, "part").filter("p_size > 10")
-    return quality.reference_check(table(spark, sf, "lineitem"), large, "l_partkey", "p_partkey")
+    return quality.reference_check(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id", "doc_id")
 
 
 def j4_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
-    pending = table(spark, sf, "orders").filter("o_orderstatus = 'P'")
-    return quality.one_to_one_check(table(spark, sf, "customer"), pending, "c_custkey", "o_custkey")
+    """Every tenth id, and the ids of unlabelled qualities, are NULL on purpose."""
+    docs = table(spark, sf, "documents").withColumn("key", F.when(F.col("doc_id") % 10 != 0, F.col("doc_id")))
+    labels = table(spark, sf, "labels").withColumn("key", F.when(F.col("toxic") == 0, F.col("doc_id")))
+    return quality.one_to_one_check(docs, labels, "key", "key")
 
 
 def j5_domain_range_format(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,6 +72,25 @@ def j5_domain_range_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def j6_schema_census(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns per type of every given table."""
+    rows = []
+    for name in COUNTED:
+        census = quality.schema_census(table(spark, sf, name).schema)
+        rows += [(name, kind, count) for kind, count in census.items() if kind != "columns"]
+    return spark.createDataFrame(rows, "table_name string, type string, columns long")
+
+
+#: of a Spark type the name DuckDB reports for the same Parquet column
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]"}
+
+
+def _census_sql() -> str:
+    names = " ".join(f"WHEN '{known}' THEN '{ours}'" for ours, known in TYPE_NAMES.items())
+    tables = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_type FROM (DESCRIBE SELECT * FROM {t})" for t in COUNTED)
+    return f"SELECT table_name, CASE column_type {names} ELSE lower(column_type) END AS type, count(*) AS columns FROM ({tables}) GROUP BY ALL"
+
+
 def j7_distribution(spark: SparkSession, sf: str) -> DataFrame:
     shares = {"A": 33.3, "N": 33.3, "R": 33.3}
     met = aggregate.class_shares(table(spark, sf, "lineitem"), "l_returnflag", shares, 3.0)
@@ -80,13 +101,26 @@ def k1_clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     path = layout.recluster(
         spark, f"{sf}/lineitem.parquet", new_scratch(spark, "k1"), "clustered", ["l_returnflag", "l_shipdate"], target_bytes=256 * 1024
     )
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    # a flag's rows lie together: of the files, few hold more than one of its values
+    mixed = stored.groupBy(F.input_file_name().alias("f")).agg(F.count_distinct("l_returnflag").alias("flags"))
+    files, across = mixed.agg(F.count(F.lit(1)), F.count_if(F.col("flags") > 1)).first()
+    return stored.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max("l_orderkey").alias("last_order"),
+        F.lit(files > 3).alias("several_files"),
+        F.lit(across <= 2).alias("clustered"),
+    )
 
 
 def k2_compaction(spark: SparkSession, sf: str) -> DataFrame:
     root = new_scratch(spark, "k2")
     write_files(table(spark, sf, "orders"), f"{root}/small", files=32)
-    return spark.read.parquet(layout.compact(spark, f"{root}/small", root, "compacted"))
+    stored = spark.read.parquet(layout.compact(spark, f"{root}/small", root, "compacted"))
+    stored, files = stored.withColumn("file", F.input_file_name()), F.count_distinct("file")
+    return stored.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), (files < 32).alias("fewer_files")
+    )
 
 
 def k3_change_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,11 +157,13 @@ QUERIES: Registered = {
     "j3_key_check": (j3_key_check, """SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS distinct_keys,
         count(*) FILTER (o_orderkey > 0) AS positive_keys, count(DISTINCT o_orderkey) = count(*) AS is_unique,
         count(*) FILTER (o_orderkey > 0) = count(*) AS is_positive FROM orders"""),
-    "j4_reference_check": (j4_reference_check, """SELECT count(DISTINCT l_partkey) AS orphan_keys, count(*) AS orphan_rows FROM lineitem
-        WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)"""),
-    "j4_one_to_one": (j4_one_to_one, """WITH a AS (SELECT c_custkey AS k, count(*) AS n FROM customer GROUP BY 1),
-        b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
-        SELECT CAST(coalesce(sum(a.n), 0) AS BIGINT) AS left_rows, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS right_rows,
+    "j4_reference_check": (j4_reference_check, """SELECT count(DISTINCT doc_id) AS orphan_keys, count(*) AS orphan_rows FROM documents
+        WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""),
+    "j4_one_to_one": (j4_one_to_one, """WITH l AS (SELECT CASE WHEN doc_id % 10 <> 0 THEN doc_id END AS k FROM documents),
+        r AS (SELECT CASE WHEN toxic = 0 THEN doc_id END AS k FROM labels),
+        a AS (SELECT k, count(*) AS n FROM l WHERE k IS NOT NULL GROUP BY k),
+        b AS (SELECT k, count(*) AS n FROM r WHERE k IS NOT NULL GROUP BY k)
+        SELECT (SELECT count(*) FROM l WHERE k IS NULL) AS left_null_keys, (SELECT count(*) FROM r WHERE k IS NULL) AS right_null_keys, CAST(coalesce(sum(a.n), 0) AS BIGINT) AS left_rows, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS right_rows,
           count(*) FILTER (a.n > 1 OR b.n > 1) AS repeated_keys, count(*) FILTER (b.n IS NULL) AS left_only_keys,
           count(*) FILTER (a.n IS NULL) AS right_only_keys FROM a FULL JOIN b ON a.k = b.k"""),
     "j5_domain_range_format": (j5_domain_range_format, r"""SELECT "check", violations, violations = 0 AS passed FROM (
@@ -135,11 +171,14 @@ QUERIES: Registered = {
         SELECT 'year_in_range', count(*) FILTER (year(o_orderdate) NOT BETWEEN 1996 AND 2000) FROM orders UNION ALL
         SELECT 'priority_format', count(*) FILTER (NOT regexp_full_match(o_orderpriority, '[1-5]-[A-Z ]+')) FROM orders UNION ALL
         SELECT 'amount_not_negative', count(*) FILTER (o_totalprice < 0) FROM orders)"""),
+    "j6_schema_census": (j6_schema_census, _census_sql()),
     "j7_distribution": (j7_distribution, """SELECT count(*) FILTER (ok) AS met, count(*) FILTER (NOT ok) AS unmet FROM (
         SELECT abs(count(*) * 100 / (SELECT count(*) FROM lineitem) - 33.3) <= 3.0 AS ok FROM lineitem
         WHERE l_returnflag IN ('A','N','R') GROUP BY l_returnflag)"""),
-    "k1_clustered_layout": (k1_clustered_layout, "SELECT * FROM lineitem"),
-    "k2_compaction": (k2_compaction, "SELECT * FROM orders"),
+    "k1_clustered_layout": (k1_clustered_layout, """SELECT l_returnflag, count(*) AS rows, max(l_orderkey) AS last_order,
+        true AS several_files, true AS clustered FROM lineitem GROUP BY l_returnflag"""),
+    "k2_compaction": (k2_compaction, """SELECT o_orderstatus, count(*) AS rows, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total,
+        true AS fewer_files FROM orders GROUP BY o_orderstatus"""),
     "k3_change_feed": (k3_change_feed, """SELECT 'delete' AS change_type, * FROM customer WHERE c_acctbal < 0
         UNION ALL SELECT 'update_pre', * FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
         UNION ALL SELECT 'update_post', c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment FROM customer

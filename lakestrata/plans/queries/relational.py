@@ -139,16 +139,14 @@ def b10_key_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def c1_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    pending = table(spark, sf, "orders").filter("o_orderstatus = 'P' AND o_totalprice > 400000")
-    newest = latest.latest_per_key(pending, ["o_custkey"], ["o_orderdate", "o_orderkey"], unique=True)
+    newest = latest.latest_per_key(table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], unique=True)
     right = newest.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     return joins.left_once(table(spark, sf, "customer"), right, ["c_custkey"])
 
 
 def c1_left_join_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
-    rich = table(spark, sf, "supplier").filter("s_acctbal > 1000").select("s_suppkey", "s_name")
-    return joins.skew_safe_join(lines, rich, ["s_suppkey"], "left", bucket_rows=50)
+    return joins.left_once(lines, table(spark, sf, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
 
 
 def c2_inner_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,9 +155,8 @@ def c2_inner_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def c3_left_anti_join(spark: SparkSession, sf: str) -> DataFrame:
-    parts = table(spark, sf, "part").filter("p_size > 10")
-    orphans = joins.orphan_rows(table(spark, sf, "lineitem"), parts, "l_partkey", "p_partkey")
-    return orphans.select("l_orderkey", "l_linenumber", "l_partkey")
+    orphans = joins.orphan_rows(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id", "doc_id")
+    return orphans.select("doc_id", "lang", "source", "n_chars")
 
 
 # --- aggregates ----------------------------------------------------------------------------------
@@ -236,7 +233,10 @@ def d8_share_of_total(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.class_shares(table(spark, sf, "orders"), "o_orderstatus", SHARES, 5.0)
 
 
-COUNTED = ("customer", "documents", "events", "lineitem", "orders", "part", "supplier")
+COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def d9_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,7 +276,8 @@ def f2_filtered_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def f3_preview(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_profile(spark, sf).select("customer_id", "customer_name", "risk_tier", "filled_orders").limit(5)
+    shown = customer_profile(spark, sf).select("customer_id", "customer_name", "risk_tier", "filled_orders")
+    return shown.orderBy("customer_id").limit(5)
 
 
 def g1_union_aligned(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,10 +291,12 @@ def g1_union_aligned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g2_union_of_scalars(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
-    return aggregate.layer_counts(
-        {"all_orders": orders, "filled": orders.filter("o_orderstatus = 'F'"), "pending": orders.filter("o_orderstatus = 'P'")}
-    )
+    """Three counts as rows, from one scan."""
+    status = F.col("o_orderstatus")
+    counted = {"all_orders": F.count(F.lit(1)), "filled": F.count_if(status == "F"), "pending": F.count_if(status == "P")}
+    found = table(spark, sf, "orders").agg(*(count.alias(name) for name, count in counted.items()))
+    rows = (F.struct(F.lit(name).alias("table_name"), F.col(name).alias("rows")) for name in counted)
+    return found.select(F.inline(F.array(*rows)))
 
 
 # --- derived columns -----------------------------------------------------------------------------
@@ -368,13 +371,13 @@ QUERIES: Registered = {
     "b10_key_lookup": (b10_key_lookup, "SELECT c_mktsegment AS key, c_name AS value FROM customer WHERE c_mktsegment = 'BUILDING'"),
     "c1_left_join": (c1_left_join, """SELECT c.*, l.o_orderkey, l.o_totalprice FROM customer c LEFT JOIN (
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-        FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000) l ON c.c_custkey = l.o_custkey AND l.rn = 1"""),
+        FROM orders) l ON c.c_custkey = l.o_custkey AND l.rn = 1"""),
     "c1_left_join_hot_keys": (c1_left_join_hot_keys, """SELECT l_suppkey AS s_suppkey, l_orderkey, l_linenumber, s_name FROM lineitem
-        LEFT JOIN (SELECT s_suppkey AS k, s_name FROM supplier WHERE s_acctbal > 1000) ON l_suppkey = k"""),
+        LEFT JOIN (SELECT s_suppkey AS k, s_name FROM supplier) ON l_suppkey = k"""),
     "c2_inner_join": (c2_inner_join, f"""SELECT c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, m.*
         FROM customer c JOIN ({ORDER_METRICS_SQL}) m ON c.c_custkey = m.customer_id"""),
-    "c3_left_anti_join": (c3_left_anti_join, """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-        WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part WHERE p_size > 10 AND p_partkey = l_partkey)"""),
+    "c3_left_anti_join": (c3_left_anti_join, """SELECT doc_id, lang, source, n_chars FROM documents d
+        WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""),
     "d1_conditional_metrics": (d1_conditional_metrics, ORDER_METRICS_SQL),
     "d2_empty_defaults": (d2_empty_defaults, """SELECT user_id, CAST(0 AS BIGINT) AS refunds, CAST(0 AS DOUBLE) AS avg_refund,
         CAST(0 AS DOUBLE) AS total_refund FROM events GROUP BY user_id"""),
@@ -406,7 +409,8 @@ QUERIES: Registered = {
     "f1_total_sort": (f1_total_sort, "SELECT DISTINCT o_custkey FROM orders ORDER BY o_custkey"),
     "f2_filtered_top_k": (f2_filtered_top_k, f"""SELECT * FROM ({ORDER_METRICS_SQL}) WHERE filled_orders > 0 OR open_orders > 0
         ORDER BY filled_orders DESC, customer_id LIMIT 10"""),
-    "f3_preview": (f3_preview, None),
+    "f3_preview": (f3_preview, f"""SELECT customer_id, customer_name, risk_tier, filled_orders FROM ({PROFILE_SQL})
+        ORDER BY customer_id LIMIT 5"""),
     "g1_union_aligned": (g1_union_aligned, """SELECT 'customer' AS kind, c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
         UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier"""),
     "g2_union_of_scalars": (g2_union_of_scalars, """SELECT 'all_orders' AS table_name, count(*) AS rows FROM orders

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.operators.aggregate import Metric
 from lakestrata.functions.derive import difference, fingerprint, percent_of
 from lakestrata.operators.aggregate import conditional_metrics
 from lakestrata.operators.project import lead_columns, rename_project, stamp_ingest
@@ -21,7 +22,7 @@ from lakestrata.plans.queries.sources import Landing, deliveries
 from lakestrata.session import new_scratch
 from lakestrata.sources import tables
 from lakestrata.sources.ingest import ingest_files, read_ingested
-from lakestrata.streaming.append import append_refresh
+from lakestrata.streaming.append import append_refresh, read_appended
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
 from lakestrata.streaming.key_refresh import join_refresh, key_refresh, read_keyed
 
@@ -38,7 +39,7 @@ def i1_streaming_transform(spark: SparkSession, sf: str) -> DataFrame:
         landing.drop(delivery)
         stream = spark.readStream.schema(delivery.schema).parquet(landing.source)
         append_refresh(stream, transform, f"{landing.root}/table", f"{landing.root}/checkpoint")
-    stored = spark.read.parquet(f"{landing.root}/table")
+    stored = read_appended(spark, f"{landing.root}/table", transform(delivery).schema)
     return stored.withColumn("stamped", F.col("ingest_ts").isNotNull()).drop("ingest_ts")
 
 
@@ -71,8 +72,8 @@ def i2_append_refresh(spark: SparkSession, sf: str) -> DataFrame:
     for delivery in (lines.filter(early), lines.filter(~early)):
         landing.drop(delivery)
         landing.take()
-        append_refresh(landing.stream(), silver_lines, f"{landing.root}/silver", f"{landing.root}/silver_checkpoint")
-    return spark.read.parquet(f"{landing.root}/silver")
+        append_refresh(landing.stream(), silver_lines, f"{landing.root}/silver", f"{landing.root}/silver_checkpoint", ["ship_date"])
+    return read_appended(spark, f"{landing.root}/silver", silver_lines(landing.read()).schema)
 
 
 def i3_group_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,11 +83,26 @@ def i3_group_refresh(spark: SparkSession, sf: str) -> DataFrame:
         landing.drop(delivery)
         stream = spark.readStream.schema(delivery.schema).parquet(landing.source)
         group_refresh(
-            stream, target, f"{landing.root}/checkpoint", "user_id", "event_type", "value", EVENT_METRICS, scale=2, fold_after=2
+            stream, target, f"{landing.root}/checkpoint", "user_id", "event_type", "value", scale=2, fold_after=2
         )
     return read_metrics(spark, target, "user_id", EVENT_METRICS)
 
 
+LATER_METRICS = (Metric("signups", "count", "signup"), Metric("avg_signup", "avg", "signup"), Metric("click_value", "sum", "click"))
+
+
+def i3_changed_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of metrics changes after all deliveries came in: the same partials answer it."""
+    landing = Landing.new(spark, "i3c")
+    target = f"{landing.root}/metrics"
+    for delivery in deliveries(spark, sf):
+        landing.drop(delivery)
+        stream = spark.readStream.schema(delivery.schema).parquet(landing.source)
+        group_refresh(stream, target, f"{landing.root}/checkpoint", "user_id", "event_type", "value", scale=2)
+        read_metrics(spark, target, "user_id", EVENT_METRICS)
+    return read_metrics(spark, target, "user_id", LATER_METRICS)
+
+
 def i4_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The customer view after customers and two deliveries of orders, rewritten bucket by bucket."""
     root = new_scratch(spark, "i4")
@@ -146,6 +162,11 @@ QUERIES: Registered = {
         coalesce(l_extendedprice, 0) - coalesce(l_tax, 0) AS net,
         CASE WHEN l_discount <> 0 AND l_discount IS NOT NULL THEN coalesce(l_tax, 0) / l_discount * 100 ELSE 0.0 END AS fee_percent
         FROM lineitem"""),
+    "i3_changed_list": (i3_changed_list, """SELECT user_id, count(value) FILTER (event_type = 'signup') AS signups,
+        coalesce(CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'signup') AS DOUBLE)
+          / nullif(count(value) FILTER (event_type = 'signup'), 0), 0.0) AS avg_signup,
+        coalesce(CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'click') AS DOUBLE), 0.0) AS click_value
+        FROM events GROUP BY user_id"""),
     "i3_group_refresh": (i3_group_refresh, EVENT_METRICS_SQL),
     "i4_affected_keys": (i4_affected_keys, CUSTOMER_VIEW_SQL),
     "i5_full_recompute": (i5_full_recompute, PROFILE_SQL),

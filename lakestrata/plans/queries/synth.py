@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.derive import padded
 from lakestrata.functions.draws import date_in, pick, uniform, weighted
 from lakestrata.operators import synth
 from lakestrata.plans import bank
@@ -60,7 +61,7 @@ def l6_composed_columns(spark: SparkSession, sf: str) -> DataFrame:
         {
             "full_name": F.concat_ws(" ", "first_name", "last_name"),
             "email": F.concat(F.lower("first_name"), F.lit("."), F.lower("last_name"), F.col("o_orderkey"), F.lit("@mail.test")),
-            "transaction_id": F.concat("kind", F.lpad(F.col("o_orderkey").cast("string"), 8, "0")),
+            "transaction_id": F.concat("kind", padded("o_orderkey", 8)),
             "short_id": F.lpad((F.col("o_orderkey") + 1_000_000).cast("string"), 5, "0"),
             "net": F.col("amount") - F.col("fee"),
         }
@@ -77,7 +78,7 @@ def l8_one_per_parent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _name(segment: Column, key: Column) -> Column:
-    return F.concat(segment, F.lit("#"), F.lpad(key.cast("string"), 9, "0"))
+    return F.concat(segment, F.lit("#"), padded(key, 9))
 
 
 def l9_snapshot_mutation(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +136,7 @@ QUERIES: Registered = {
     "l5_uniform_number": (l5_uniform_number, f"SELECT o_orderkey, {_uniform(10, 100_000, 'amount', _K)} AS amount FROM orders"),
     "l6_composed_columns": (l6_composed_columns, f"""SELECT *, first_name || ' ' || last_name AS full_name,
         lower(first_name) || '.' || lower(last_name) || o_orderkey || '@mail.test' AS email,
-        kind || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS transaction_id,
+        kind || lpad(CAST(o_orderkey AS VARCHAR), greatest(8, length(CAST(o_orderkey AS VARCHAR)))::INT, '0') AS transaction_id,
         lpad(CAST(o_orderkey + 1000000 AS VARCHAR), 5, '0') AS short_id, amount - fee AS net FROM (
         SELECT o_orderkey, {_pick(FIRST, 'first', _K)} AS first_name, {_pick(LAST, 'last', _K)} AS last_name, {_TYPE} AS kind,
           {_uniform(10, 100_000, 'amount', _K)} AS amount, {_uniform(10, 1_000, 'fee', _K)} AS fee FROM orders)"""),

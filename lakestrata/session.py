@@ -9,19 +9,24 @@ from pyspark.sql import SparkSession
 
 from lakestrata.sources import fs
 
+INITIAL_PARTITIONS = "20000"
+
 _local_roots: dict[str, str] = {}
 
 
 def build_session(app: str = "lakestrata", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here assumes.
 
-    Shuffle partition counts are left to adaptive execution; pass
-    ``spark.sql.shuffle.partitions`` for small local runs.
+    Adaptive execution only ever lowers the number of shuffle partitions, so shuffles start with
+    ``INITIAL_PARTITIONS`` and are merged to partitions of the advisory size. Pass
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for small local runs.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", INITIAL_PARTITIONS)
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -40,7 +45,7 @@ def scratch_root(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     app = context.applicationId
     if app not in _local_roots:

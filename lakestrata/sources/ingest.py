@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from lakestrata.operators.project import lead_columns
 from lakestrata.sources import fs
-from lakestrata.sources.tables import numbered, publish
+from lakestrata.sources.tables import numbered, publish, published
 
 BATCH = "ingest_batch"
 INGEST_TS = "ingest_ts"
@@ -52,8 +52,7 @@ def ingest_files(
     files for min/max skipping. A rerun with no new files changes nothing, and a batch cut short
     is repeated as a whole. A late file is a new file whatever its age.
     """
-    if numbered(spark, target, BATCH) and not fs.exists(spark, f"{checkpoint}/offsets"):
-        raise ValueError(f"{target} has rows but {checkpoint} is new: rebuild into a new target instead")
+    require_checkpoint(spark, bool(numbered(spark, target, BATCH)), target, checkpoint)
     names = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_LIST)
@@ -67,7 +66,7 @@ def ingest_files(
 
     def take(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        if fs.exists(session, f"{target}/{BATCH}={number}"):
+        if published(session, target, f"{BATCH}={number}"):
             return
         # file names only, at most max_files of them
         paths = sorted(row["path"] for row in batch.collect())
@@ -84,6 +83,12 @@ def ingest_files(
     run_available(names, checkpoint, take)
 
 
+def require_checkpoint(spark: SparkSession, has_rows: bool, target: str, checkpoint: str) -> None:
+    """A new checkpoint counts batches from 0 again, which a target with rows takes for done."""
+    if has_rows and not fs.exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{target} has rows but {checkpoint} is new: rebuild into a new target instead")
+
+
 def run_available(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> None:
     """Give everything that is new to ``work``, batch by batch, and return."""
     query = (
@@ -96,8 +101,12 @@ def run_available(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame,
 
 
 def read_ingested(spark: SparkSession, target: str, schema_store: str) -> DataFrame:
-    """The table so far; its schema comes from the store, no footers are merged."""
-    return spark.read.schema(ingested_schema(spark, schema_store)).parquet(target)
+    """The whole batches so far; the schema comes from the store, no footers are merged."""
+    schema = ingested_schema(spark, schema_store)
+    whole = [fs.escape_glob(f"{target}/{BATCH}={n}") for n in numbered(spark, target, BATCH)]
+    if not whole:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", target).parquet(*whole)
 
 
 def stream_ingested(spark: SparkSession, target: str, schema_store: str, max_files: int | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMNS = ("key", "value")
-MAX_SETTINGS = 10_000
 
 
 def replace_settings(
@@ -31,17 +30,21 @@ def insert_missing(
 ) -> None:
     """Append the keys of ``new`` the table does not hold; existing values never change."""
     rows = missing_settings(spark.table(table), new, columns)
-    rows.coalesce(1).write.mode("append").insertInto(table)
+    rows.write.mode("append").insertInto(table)
 
 
 def load_settings(
     spark: SparkSession, table: str, required: tuple[str, ...] = (), columns: tuple[str, str] = COLUMNS
 ) -> dict[str, str]:
-    """The table as a dict; raises on a missing required key and on a table too large for settings."""
-    rows = spark.table(table).select(*columns).limit(MAX_SETTINGS + 1).collect()
-    if len(rows) > MAX_SETTINGS:
-        raise ValueError(f"{table} has more than {MAX_SETTINGS} rows: not a settings table")
-    found = {row[0]: row[1] for row in rows}
+    """The settings as a dict; raises where a required key is missing.
+
+    With ``required`` keys only those are read, so what reaches the driver is as large as the
+    request. Without, it is the whole table.
+    """
+    rows = spark.table(table).select(*columns)
+    if required:
+        rows = rows.filter(F.col(columns[0]).isin(*required))
+    found = {row[0]: row[1] for row in rows.collect()}
     absent = [key for key in required if key not in found]
     if absent:
         raise KeyError(f"settings missing in {table}: {', '.join(absent)}")

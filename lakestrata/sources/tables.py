@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lakestrata.sources import fs
 
 
+MARKER = "_published"
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by its one-, two- or three-part name."""
     return spark.table(name)
@@ -49,10 +52,11 @@ def replace_table(df: DataFrame, name: str) -> None:
 def publish(df: DataFrame, root: str, folder: str) -> None:
     """Write ``root/folder`` so that readers see either nothing or all of it.
 
-    The job writes below ``_staging``, which Spark's readers skip; one rename shows it.
-    A folder that is already there is left alone, so a replayed unit changes nothing.
+    The job writes below ``_staging``, which Spark's readers skip; a rename shows it, and a small
+    marker written last says that it is whole. A whole folder is left alone, so a replayed unit
+    changes nothing; one that a cut-short rename has left in part is written again.
     """
-    if not fs.exists(df.sparkSession, f"{root}/{folder}"):
+    if not published(df.sparkSession, root, folder):
         stage(df, root, folder)
         show(df.sparkSession, root, folder)
 
@@ -63,11 +67,23 @@ def stage(df: DataFrame, root: str, folder: str) -> None:
 
 
 def show(spark: SparkSession, root: str, folder: str) -> None:
+    """Move a staged folder to its place, over what may be there in part, and mark it as whole."""
+    fs.delete(spark, f"{root}/{folder}")
     fs.rename(spark, f"{root}/_staging/{folder}", f"{root}/{folder}")
+    fs.write_text(spark, f"{root}/{folder}/{MARKER}", "")
+
+
+def published(spark: SparkSession, root: str, folder: str) -> bool:
+    return fs.exists(spark, f"{root}/{folder}/{MARKER}")
 
 
 def numbered(spark: SparkSession, root: str, key: str) -> list[int]:
-    """The published numbers ``n`` among the ``key=n`` folders of ``root``, ascending."""
+    """The numbers ``n`` among the whole ``key=n`` folders of ``root``, ascending."""
+    return [n for n in subfolders(spark, root, key) if published(spark, root, f"{key}={n}")]
+
+
+def subfolders(spark: SparkSession, root: str, key: str) -> list[int]:
+    """The numbers ``n`` among the ``key=n`` folders below a folder that is whole itself."""
     prefix = f"{key}="
     return sorted(int(n[len(prefix):]) for n in fs.list_names(spark, root) if n.startswith(prefix))
 

@@ -2,28 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from lakestrata.sources import fs
+from lakestrata.sources.ingest import require_checkpoint, run_available
+from lakestrata.sources.tables import numbered, publish
+
+BATCH = "batch"
 
 
 def append_refresh(
-    stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
+    stream: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    target: str,
+    checkpoint: str,
+    cluster_by: Sequence[str] = (),
 ) -> None:
-    """Append ``transform`` of the rows that are new in ``stream`` to the Parquet table ``target``.
+    """Append ``transform`` of the rows that are new in ``stream`` to the table ``target``.
 
     ``transform`` must work row by row. Spark itself rejects aggregates, sorts and windows here,
-    which is what keeps the result equal to a full recompute.
+    which is what keeps the result equal to a full recompute. Every micro-batch is one published
+    folder, so no list of all files ever written is kept. With ``cluster_by`` a batch is cut into
+    ranges of those columns and sorted by them, so that a file spans few of their values.
     """
     if not stream.isStreaming:
         raise ValueError("append_refresh needs a streaming DataFrame")
-    query = (
-        transform(stream)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def add(batch: DataFrame, number: int) -> None:
+        if cluster_by:
+            batch = batch.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        publish(batch, target, f"{BATCH}={number}")
+
+    require_checkpoint(stream.sparkSession, bool(numbered(stream.sparkSession, target, BATCH)), target, checkpoint)
+    run_available(transform(stream), checkpoint, add)
+
+
+def read_appended(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All rows of the whole batches; empty while there are none."""
+    whole = [fs.escape_glob(f"{target}/{BATCH}={n}") for n in numbered(spark, target, BATCH)]
+    return spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.operators.aggregate import Metric, finish_metrics, merge_partials, partial_metrics
+from lakestrata.operators.aggregate import Metric, merge_typed, typed_metrics, typed_partials
 from lakestrata.sources import fs
-from lakestrata.sources.ingest import run_available
+from lakestrata.sources.ingest import require_checkpoint, run_available
 from lakestrata.sources.tables import numbered, publish
 
 BATCH, FOLDED = "batch", "upto"
@@ -21,21 +21,23 @@ def group_refresh(
     key: str,
     type_column: str,
     value_column: str,
-    metrics: Sequence[Metric],
     scale: int | None = None,
     fold_after: int = 64,
 ) -> None:
     """Aggregate the new rows of ``stream`` into one published partial per micro-batch.
 
-    Only groups that occur in a batch are touched. A replayed batch finds its partial there.
+    Partials hold every type, so metrics over any types can be read at any time. Only groups that
+    occur in a batch are touched. A replayed batch finds its partial there; a checkpoint that is
+    new beside a target with batches raises.
     After ``fold_after`` partials they are folded into one, which bounds what a reader merges.
     """
 
     def add(batch: DataFrame, number: int) -> None:
         if _done(batch.sparkSession, target, number):
             return
-        publish(partial_metrics(batch, key, type_column, value_column, metrics, scale), target, f"{BATCH}={number}")
+        publish(typed_partials(batch, key, type_column, value_column, scale), target, f"{BATCH}={number}")
 
+    require_checkpoint(stream.sparkSession, bool(_batches_or_folds(stream.sparkSession, target)), target, checkpoint)
     # a micro-batch arrives whole: columns must be cut before it, not inside
     run_available(stream.select(key, type_column, value_column), checkpoint, add)
     spark = stream.sparkSession
@@ -44,7 +46,7 @@ def group_refresh(
 
 
 def read_metrics(spark: SparkSession, target: str, key: str, metrics: Sequence[Metric]) -> DataFrame:
-    return finish_metrics(merge_partials(_partials(spark, target), key), key, metrics)
+    return typed_metrics(_partials(spark, target), key, metrics)
 
 
 def fold(spark: SparkSession, target: str, key: str) -> None:
@@ -53,7 +55,7 @@ def fold(spark: SparkSession, target: str, key: str) -> None:
     if not batches:
         return
     stale = numbered(spark, target, FOLDED)
-    publish(merge_partials(_partials(spark, target), key), target, f"{FOLDED}={batches[-1]}")
+    publish(merge_typed(_partials(spark, target), key), target, f"{FOLDED}={batches[-1]}")
     for upto in stale[:-1]:
         fs.delete(spark, f"{target}/{FOLDED}={upto}")
     if stale:
@@ -62,6 +64,10 @@ def fold(spark: SparkSession, target: str, key: str) -> None:
                 fs.delete(spark, f"{target}/{BATCH}={number}")
 
 
+def _batches_or_folds(spark: SparkSession, target: str) -> list[int]:
+    return numbered(spark, target, BATCH) + numbered(spark, target, FOLDED)
+
+
 def _folded(spark: SparkSession, target: str) -> int:
     return max(numbered(spark, target, FOLDED), default=-1)
 

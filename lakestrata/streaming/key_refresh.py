@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from lakestrata.operators.latest import latest_per_key
 from lakestrata.sources import fs
-from lakestrata.sources.ingest import run_available
-from lakestrata.sources.tables import numbered
+from lakestrata.sources.ingest import require_checkpoint, run_available
+from lakestrata.sources.tables import numbered, published, show, subfolders
 
 BATCH, BUCKET = "batch", "bucket"
 _BUILT_FROM = "_built_from.json"
@@ -40,7 +40,7 @@ def key_refresh(
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if fs.exists(spark, f"{target}/{BATCH}={number}"):
+        if published(spark, target, f"{BATCH}={number}"):
             return
         # the batch is needed twice and Spark would read its files for each use
         batch.persist()
@@ -55,6 +55,7 @@ def key_refresh(
         finally:
             batch.unpersist()
 
+    require_checkpoint(stream.sparkSession, bool(numbered(stream.sparkSession, target, BATCH)), target, checkpoint)
     run_available(stream, checkpoint, merge)
 
 
@@ -98,7 +99,7 @@ def _publish_buckets(
     ordered.write.partitionBy(BUCKET).mode("overwrite").parquet(staging)
     if built_from is not None:
         fs.write_text(spark, f"{staging}/{_BUILT_FROM}", built_from)
-    fs.rename(spark, staging, f"{target}/{BATCH}={number}")
+    show(spark, target, f"{BATCH}={number}")
 
 
 def _newest_folders(spark: SparkSession, target: str) -> dict[int, str]:
@@ -106,7 +107,7 @@ def _newest_folders(spark: SparkSession, target: str) -> dict[int, str]:
     newest: dict[int, str] = {}
     for number in numbered(spark, target, BATCH):
         folder = f"{target}/{BATCH}={number}"
-        for bucket in numbered(spark, folder, BUCKET):
+        for bucket in subfolders(spark, folder, BUCKET):
             newest[bucket] = f"{folder}/{BUCKET}={bucket}"
     return newest
 
@@ -127,7 +128,7 @@ def prune(spark: SparkSession, target: str) -> None:
     current = set(_newest_folders(spark, target).values())
     for number in numbered(spark, target, BATCH)[:-1]:
         folder = f"{target}/{BATCH}={number}"
-        old = [f"{folder}/{BUCKET}={b}" for b in numbered(spark, folder, BUCKET)]
+        old = [f"{folder}/{BUCKET}={b}" for b in subfolders(spark, folder, BUCKET)]
         if not current.intersection(old):
             fs.delete(spark, folder)
             continue

@@ -20,8 +20,7 @@ def test_dense_index_of_nothing(spark):
 
 
 @pytest.mark.parametrize("count", [0, 1, 37, 999, 1000, 1500])
-def test_pick_exact_count(spark, count, monkeypatch):
-    monkeypatch.setattr(index, "FINAL_ROWS", 2)
+def test_pick_exact_count(spark, count):
     df = spark.range(1000).repartition(5)
     flag = index.pick_condition(df, ["id"], count, "s")
     picked = {r["id"] for r in df.filter(flag).collect()}
@@ -34,13 +33,19 @@ def test_pick_with_several_key_columns(spark):
     assert df.filter(index.pick_condition(df, ["a", "b"], 33, "s")).count() == 33
 
 
-def test_pick_rejects_repeated_keys(spark, monkeypatch):
-    monkeypatch.setattr(index, "FINAL_ROWS", 2)
+def test_pick_rejects_repeated_keys(spark):
     df = spark.range(100).select(F.lit(1).alias("k"))
     with pytest.raises(ValueError, match="do not identify"):
         index.pick_condition(df, ["k"], 10, "s")
 
 
+@pytest.mark.parametrize("rows", [30, 3_000])
+def test_repeated_keys_behave_alike_at_any_size(spark, rows):
+    df = spark.range(rows).select((F.col("id") % 3).alias("k"))
+    with pytest.raises(ValueError, match="do not identify"):
+        index.pick_condition(df, ["k"], rows // 2, "s")
+
+
 def test_share_size():
     assert index.share_size(1500, 0.006) == 9
     assert index.share_size(50_000, 0.2) == 10_000

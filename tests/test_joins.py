@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators.joins import hot_keys, orphan_keys, orphan_rows, skew_safe_join
+from lakestrata.operators.joins import left_once, orphan_keys, orphan_rows
 from lakestrata.operators.latest import latest_per_key
 
 
@@ -17,35 +17,17 @@ def one(spark):
     return spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "n"), (99, "z")], "k long, name string")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("bucket_rows", [10, 200, 10_000])
-def test_skew_safe_join_is_the_join(spark, how, bucket_rows):
-    want = many(spark).join(one(spark), ["k"], how)
-    have = skew_safe_join(many(spark), one(spark), ["k"], how, bucket_rows)
-    assert have.columns == want.columns
-    assert sorted(have.collect(), key=repr) == sorted(want.collect(), key=repr)
+def test_left_once_keeps_null_and_unmatched_keys(spark):
+    joined = left_once(many(spark), one(spark), ["k"])
+    assert joined.columns == ["k", "v", "name"]
+    assert joined.filter("k is null").count() == 300 and joined.filter("k is null and name is not null").count() == 0
+    assert joined.count() == many(spark).count() + many(spark).filter("k = 1").count()
 
 
-def test_hot_keys_get_the_buckets_they_need(spark):
-    found = {r["k"]: r["_buckets"] for r in hot_keys(many(spark), ["k"], 3000, 100).collect()}
-    assert found == {1: 11, 2: 11}
-
-
-def test_copies_of_one_row_spread(spark):
-    copies = spark.range(4000).repartition(16).select(F.lit(5).cast("long").alias("k"), F.lit("x").alias("v"))
-    right = spark.createDataFrame([(5, "p")], "k long, name string")
-    joined = skew_safe_join(copies, right, ["k"], "inner", 100)
-    assert joined.count() == 4000
-
-
-def test_map_columns_may_travel(spark):
-    df = many(spark).withColumn("m", F.create_map(F.lit("a"), F.col("v")))
-    assert skew_safe_join(df, one(spark), ["k"], "inner", 10).count() == df.join(one(spark), "k").count()
-
-
-def test_unknown_how(spark):
-    with pytest.raises(ValueError):
-        skew_safe_join(many(spark), one(spark), ["k"], "cross")
+def test_orphans_of_hot_and_null_keys(spark):
+    found = orphan_rows(many(spark), one(spark).withColumnRenamed("k", "pk"), "k", "pk")
+    assert found.filter("k is null or k in (1, 3)").count() == 0
+    assert found.count() == many(spark).filter("k not in (1, 3)").count()
 
 
 def test_orphans(spark):

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from lakestrata.operators.aggregate import Metric, conditional_metrics
 from lakestrata.operators.latest import latest_per_key
 from lakestrata.sources import fs
-from lakestrata.sources.tables import numbered
+from lakestrata.sources.tables import numbered, subfolders
 from lakestrata.streaming import group_refresh as groups
-from lakestrata.streaming.append import append_refresh
+from lakestrata.streaming.append import append_refresh, read_appended
 from lakestrata.streaming.key_refresh import BATCH, join_refresh, key_refresh, prune, read_keyed
 
 METRICS = (Metric("n_a", "count", "a"), Metric("avg_b", "avg", "b"), Metric("sum_c", "sum", "c"))
@@ -50,7 +50,7 @@ def flow(spark, tmp_path):
 
 
 def refresh(flow, **options):
-    groups.group_refresh(flow.stream(files=1), f"{flow.root}/m", f"{flow.root}/c", "k", "t", "v", METRICS, **options)
+    groups.group_refresh(flow.stream(files=1), f"{flow.root}/m", f"{flow.root}/c", "k", "t", "v", **options)
     return groups.read_metrics(flow.spark, f"{flow.root}/m", "k", METRICS)
 
 
@@ -103,10 +103,10 @@ def test_key_refresh_replay_and_prune(flow):
     before = rowset(keyed(flow))
     forget_commit(flow.spark, f"{flow.root}/kc", 1)
     assert rowset(keyed(flow)) == before
-    touched = numbered(flow.spark, f"{flow.root}/k/{BATCH}=1", "bucket")
+    touched = subfolders(flow.spark, f"{flow.root}/k/{BATCH}=1", "bucket")
     assert len(touched) == 1
     prune(flow.spark, f"{flow.root}/k")
-    assert not set(touched) & set(numbered(flow.spark, f"{flow.root}/k/{BATCH}=0", "bucket"))
+    assert not set(touched) & set(subfolders(flow.spark, f"{flow.root}/k/{BATCH}=0", "bucket"))
     assert rowset(read_keyed(flow.spark, f"{flow.root}/k", flow.stream().schema)) == before
 
 
@@ -162,4 +162,24 @@ def test_append_refresh_equals_full(flow):
         flow.add(rows(step * 10, step * 10 + 10))
         append_refresh(flow.stream(), double, f"{flow.root}/x", f"{flow.root}/xc")
         append_refresh(flow.stream(), double, f"{flow.root}/x", f"{flow.root}/xc")
-        assert rowset(flow.spark.read.parquet(f"{flow.root}/x")) == rowset(double(flow.frame()))
+        assert rowset(read_appended(flow.spark, f"{flow.root}/x", double(flow.frame()).schema)) == rowset(double(flow.frame()))
+
+
+def test_lost_checkpoints_raise(flow):
+    flow.add(rows(0, 10))
+    same = lambda df: df
+    append_refresh(flow.stream(), same, f"{flow.root}/x", f"{flow.root}/xc")
+    groups.group_refresh(flow.stream(), f"{flow.root}/m", f"{flow.root}/c", "k", "t", "v")
+    flow.add(rows(10, 20))
+    with pytest.raises(ValueError, match="is new"):
+        append_refresh(flow.stream(), same, f"{flow.root}/x", f"{flow.root}/other")
+    with pytest.raises(ValueError, match="is new"):
+        groups.group_refresh(flow.stream(), f"{flow.root}/m", f"{flow.root}/other", "k", "t", "v")
+
+
+def test_metrics_may_change_between_runs(flow):
+    flow.add(rows(0, 40))
+    groups.group_refresh(flow.stream(), f"{flow.root}/m", f"{flow.root}/c", "k", "t", "v")
+    other = [Metric("n", "count", "b"), Metric("s", "sum", "a")]
+    have = groups.read_metrics(flow.spark, f"{flow.root}/m", "k", other)
+    assert rowset(have) == rowset(conditional_metrics(flow.frame(), "k", "t", "v", other))
