@@ -53,7 +53,7 @@ def j4_reference_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def j4_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
-    """Every tenth id, and the ids of unlabelled qualities, are NULL on purpose."""
+    """Every tenth document key and the keys of toxic labels are NULL on purpose."""
     docs = table(spark, sf, "documents").withColumn("key", F.when(F.col("doc_id") % 10 != 0, F.col("doc_id")))
     labels = table(spark, sf, "labels").withColumn("key", F.when(F.col("toxic") == 0, F.col("doc_id")))
     return quality.one_to_one_check(docs, labels, "key", "key")
@@ -119,7 +119,7 @@ def k2_compaction(spark: SparkSession, sf: str) -> DataFrame:
     stored = spark.read.parquet(layout.compact(spark, f"{root}/small", root, "compacted"))
     stored, files = stored.withColumn("file", F.input_file_name()), F.count_distinct("file")
     return stored.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), (files < 32).alias("fewer_files")
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"), (files < 32).alias("fewer_files")
     )
 
 
@@ -177,7 +177,7 @@ QUERIES: Registered = {
         WHERE l_returnflag IN ('A','N','R') GROUP BY l_returnflag)"""),
     "k1_clustered_layout": (k1_clustered_layout, """SELECT l_returnflag, count(*) AS rows, max(l_orderkey) AS last_order,
         true AS several_files, true AS clustered FROM lineitem GROUP BY l_returnflag"""),
-    "k2_compaction": (k2_compaction, """SELECT o_orderstatus, count(*) AS rows, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total,
+    "k2_compaction": (k2_compaction, """SELECT o_orderstatus, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
         true AS fewer_files FROM orders GROUP BY o_orderstatus"""),
     "k3_change_feed": (k3_change_feed, """SELECT 'delete' AS change_type, * FROM customer WHERE c_acctbal < 0
         UNION ALL SELECT 'update_pre', * FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
