@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from lakestrata.llm import chat, fingerprints, near_dedup, packing, quality_classifier, quality_rules, repeats, sampled_pieces, token_counts, url_filters
+from lakestrata.llm import (
+    chat,
+    fingerprints,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    repeats,
+    sampled_pieces,
+    sql,
+    token_counts,
+    url_filters,
+)
 from lakestrata.llm.url_filters import Rule
 from lakestrata.plans.queries import Registered, table
 
@@ -72,14 +84,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: Registered = {
-    "op1_url_filters": (op1_url_filters, None),
+    "op1_url_filters": (op1_url_filters, sql.url_filters_sql(URL_RULES)),
     "op2_quality_rules": (op2_quality_rules, None),
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op4_document_fingerprints": (op4_document_fingerprints, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
     "op6_token_counts": (op6_token_counts, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
-    "op8_chat_formatting": (op8_chat_formatting, None),
+    "op8_chat_formatting": (op8_chat_formatting, sql.chat_sql()),
     "op9_sampled_pieces": (op9_sampled_pieces, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),

@@ -1,6 +1,10 @@
+import duckdb
+
 from lakestrata.llm.queries import URL_RULES
+from lakestrata.llm.sql import url_filters_sql
 from lakestrata.llm.url_filters import Rule, alias_edges, judge_pages
 from tests.llm.helpers import rows
+from tests.oracle import compare
 
 PAGES = "page_id long, url string, html string, rule string"
 
@@ -85,3 +89,15 @@ def test_relative_links(spark):
     assert {r["target"] for r in rows(alias_edges(df))} == {
         "s.org/a/c", "s.org/d", "s.org/a/b?e", "t.org/", "u.org/%20", "s.org/a/g?x=1&y=2",
     }
+
+
+def test_sql_agrees_on_links(spark, tmp_path):
+    link = '<link rel="canonical" href="{}">'
+    hrefs = ("c", "/d", "?e", "#f", "//t.net/es/1", "HTTP://U.net/fr/%20", "http://b.org/2", "")
+    pages = [(i, f"http://a{i}.org/p/{i}?q", link.format(h), "") for i, h in enumerate(hrefs)]
+    pages += [(50, "http://b.org/2", "<meta http-equiv=refresh content='0;url=http://v.net/es/9'>", ""), (51, None, None, ""), (52, "x", "", "")]
+    df = spark.createDataFrame(pages, PAGES)
+    df.toPandas().to_parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet'")
+    assert compare(judge_pages(df, URL_RULES), con, url_filters_sql(URL_RULES)) == []
