@@ -85,7 +85,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, sql.url_filters_sql(URL_RULES)),
-    "op2_quality_rules": (op2_quality_rules, None),
+    "op2_quality_rules": (op2_quality_rules, sql.quality_rules_sql()),
     "op3_quality_classifier": (op3_quality_classifier, None),
     "op4_document_fingerprints": (op4_document_fingerprints, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lakestrata.llm import chat, url_filters
+from lakestrata.llm import chat, quality_rules, url_filters
 from lakestrata.llm.url_filters import LOWER, UPPER, Rule
 
 
@@ -95,3 +95,50 @@ SELECT conv_id, part, speaker, CAST(count(*) AS INTEGER) AS n_turns,
   coalesce(string_agg(CASE WHEN name = speaker THEN CAST(own AS BIGINT) || '-' || CAST(own + length(text || close) AS BIGINT) END, ' ' ORDER BY place), '') AS loss_spans,
   CAST(coalesce(sum(CASE WHEN name = speaker THEN length(text || close) END), 0) AS BIGINT) AS loss_chars
 FROM placed GROUP BY conv_id, part, speaker"""
+
+
+def quality_rules_sql(risk: float = quality_rules.RISK, confidence: float = quality_rules.CONFIDENCE) -> str:
+    """Base counts, the exact binomial tests of every cutoff, and the verdicts."""
+    grids = quality_rules.GRIDS
+    share = risk / len(grids)
+    tried = ", ".join(f"({_quoted(m)}, {step}, CAST({c} AS DOUBLE))" for m, grid in grids.items() for step, c in enumerate(grid))
+    values = " UNION ALL ".join(f"SELECT rid, stratum, {_quoted(m)} AS metric, {m} AS value FROM shares" for m in grids)
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT rid, doc_id, stratum, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+tokens AS (SELECT rid, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM cut),
+windows AS (
+  SELECT rid, i, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c FROM tokens WINDOW w AS (PARTITION BY rid ORDER BY i)),
+counted AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM windows WHERE c IS NOT NULL),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM counted, (VALUES (0), (1), (2)) v(k) WHERE n > 1 GROUP BY rid),
+base AS (
+  SELECT c.*, len(words) AS n_words, array_to_string(words, '') AS joined, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words FROM cut c LEFT JOIN covered USING (rid)),
+counts AS (
+  SELECT *, length(joined) AS word_chars, length(regexp_replace(joined, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+shares AS (
+  SELECT *, n_symbols / greatest(word_chars, 1) AS symbol_share, n_dup_lines / greatest(len(lines), 1) AS dup_line_share,
+    n_repeat_words / greatest(n_words, 1) AS repeat_word_share,
+    length(regexp_replace(joined, '[^\p{{Lu}}]+', '', 'g')) / greatest(word_chars, 1) AS capital_share FROM counts),
+measured AS ({values}),
+good AS (
+  SELECT m.* FROM measured m JOIN shares s USING (rid)
+  WHERE NOT s.base_failed AND s.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+tested AS (
+  SELECT stratum, metric, step, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS bad
+  FROM good JOIN (VALUES {tried}) t(metric, step, cutoff) USING (metric) GROUP BY ALL),
+proven AS (
+  SELECT *, list_sum(list_transform(range(0, bad + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+    + i * ln({share}) + (n - i) * ln(1 - {share})))) <= {1 - confidence} / ((SELECT count(DISTINCT stratum) FROM good) * {len(grids)}) AS safe
+  FROM tested),
+cutoffs AS (
+  SELECT p.stratum, p.metric, min(p.cutoff) AS cutoff FROM proven p WHERE p.step <
+    coalesce((SELECT min(f.step) FROM proven f WHERE f.stratum = p.stratum AND f.metric = p.metric AND NOT f.safe), 1000000)
+  GROUP BY p.stratum, p.metric),
+beyond AS (SELECT DISTINCT rid FROM measured JOIN cutoffs USING (stratum, metric) WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND rid NOT IN (SELECT rid FROM beyond) AS kept, stratum FROM shares"""
