@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from lakestrata.plans.queries import registered
 from lakestrata.operators import index, layout
 from lakestrata.operators.joins import left_once, orphan_rows
 from tests.conftest import SF
@@ -29,7 +29,7 @@ def plan(df):
 
 
 def explain(spark, name):
-    return plan(queries()[name](spark, SF))
+    return plan(registered()[name][0](spark, SF))
 
 
 def nodes(text, name):
@@ -90,7 +90,7 @@ def test_folder_keys_prune_folders(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*day.* = 3", text)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_no_python_and_no_cross_join(spark, name):
     if name.startswith(("a", "i", "k1", "k2", "bank_two")):
         pytest.skip("writes before it reads; the same operators are covered above")
