@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.unigram import PRETOKEN, Vocabulary, vocabulary
-from lakestrata.llm.words import _tables, mix, numbers, slices
+from lakestrata.llm.words import _tables, mix, numbers, slices, text_bytes
 
 U64 = np.uint64
 SHARPNESS = 0.5
 LATTICE_NODES = 2_500_000
 SLICE_BYTES = 1 << 20
+SLOT_BITS = 20
 STEPS = numbers(31, 64)
 TINY, LIFT = 1e-150, 1e150
 
@@ -54,6 +55,11 @@ class Lattices:
         hashes = np.concatenate([_Sums(_codes(p)).part(np.zeros(1, np.int64), len(p)) for p, _ in prefixes])
         order = np.argsort(hashes)
         self.known = hashes[order]
+        # where the hashes with the same leading bits begin, and the most that share them
+        slots = np.searchsorted(self.known >> U64(64 - SLOT_BITS), np.arange((1 << SLOT_BITS) + 1, dtype=U64))
+        self.slots = slots[:-1].astype(np.int32)
+        self.most = int(np.diff(slots).max())
+        self.known = np.append(self.known, np.full(self.most, self.known[-1]))
         self.piece = np.array([i for _, i in prefixes], np.int32)[order]
         self.weight = np.array([math.exp(sharpness * vocab.logp[i]) if i >= 0 else 0.0 for _, i in prefixes])[order]
         self.byte_weight = math.exp(sharpness * vocab.fallback)
@@ -68,7 +74,7 @@ class Lattices:
         """Filter the lattices of all pre-tokens that are new."""
         if len(self.first) > self.limit:
             self._empty()
-        new = [t for t in set(tokens) if t not in self.end]
+        new = list(set(tokens).difference(self.end))
         if not new:
             return
         text = "".join(new)
@@ -102,9 +108,13 @@ class Lattices:
         for length in range(1, self.vocab.longest + 1):
             alive = alive[alive + length <= stops[alive]]
             part = sums.part(alive, length)
-            at = np.minimum(np.searchsorted(self.known, part), len(self.known) - 1)
+            at = self.slots[part >> U64(64 - SLOT_BITS)]
             hit = self.known[at] == part
-            alive, at = alive[hit], at[hit]
+            for k in range(1, self.most):
+                later = self.known[at + k] == part
+                at = np.where(later & ~hit, at + k, at)
+                hit |= later
+            alive, at = alive[hit], np.minimum(at[hit], len(self.piece) - 1)
             whole = self.piece[at] >= 0
             if length == 1:
                 single[alive[whole]] = True
@@ -202,6 +212,18 @@ def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray) -> tuple[np.
     return ids, offsets
 
 
+def _decode_to(vocab: Vocabulary, ids: np.ndarray, offsets: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether each row's ids decode to the row's bytes of ``data``."""
+    content, starts, sizes = vocab.contents
+    size = sizes[ids]
+    ends = np.append(0, np.cumsum(size))
+    decoded = content[np.repeat(starts[ids] - ends[:-1], size) + np.arange(ends[-1])]
+    rows = ends[offsets]
+    if len(decoded) == len(data) and (rows == bounds).all() and (decoded == data).all():
+        return np.ones(len(bounds) - 1, bool)
+    return np.array([np.array_equal(decoded[a:b], data[c:d]) for a, b, c, d in zip(rows, rows[1:], bounds, bounds[1:])], bool)
+
+
 def sampled_encoding(
     documents: DataFrame, model: str, key: str = "doc_id", text: str = "text", sharpness: float = SHARPNESS, seed: int = 0
 ) -> DataFrame:
@@ -221,10 +243,10 @@ def sampled_encoding(
         for whole in batches:
             for batch in slices(whole, "_text", SLICE_BYTES):
                 texts = [t or "" for t in batch.column("_text").to_pylist()]
+                data, bounds = text_bytes(batch.column("_text"))
                 seeds = np.asarray(batch.column("_seed")).astype(np.int64).view(U64)
                 ids, offsets = sample(lattices, texts, seeds)
-                flat = ids.tolist()
-                lossless = [vocab.decode(flat[a:b]) == t for a, b, t in zip(offsets[:-1], offsets[1:], texts)]
+                lossless = _decode_to(vocab, ids, offsets, data, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_key"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
+
 #: Runs that no piece crosses: spaces belong to the word after them, and no piece holds a line break.
 PRETOKEN = re.compile(r" *[^ \n]+| +|\n")
 RANK_SHIFT = 10.0
@@ -48,6 +50,9 @@ class Vocabulary:
                 self.prefixes.setdefault(piece[:k], -1)
             self.prefixes[piece] = i
         self.suffixes = {piece[k:] for piece in self.ids for k in range(len(piece))}
+        sizes = np.array([len(c) for c in self.content], np.int64)
+        #: all contents in a row, and where each begins and how long it is
+        self.contents = np.frombuffer(b"".join(self.content), np.uint8), np.cumsum(sizes) - sizes, sizes
         self.longest = max(map(len, self.ids))
 
     def decode(self, ids) -> str:
