@@ -132,7 +132,8 @@ def test_hot_keys_are_split_at_run_time(shuffled, kind):
         many = shuffled.range(200_000).repartition(8).select(key.cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
         one = shuffled.range(2, 50_000).select(F.col("id").alias("k"), F.lit("x").alias("name")).repartition(4)
         joined = left_once(many, one, ["k"]) if kind == "left" else orphan_rows(many, one.withColumnRenamed("k", "pk"), "k", "pk")
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        # the value must travel, or hardly any bytes would
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("v")).collect()]
         assert "Broadcast" not in plan(joined)
         assert sum(sizes) >= 180_000 and max(sizes) < 90_000
     finally:
