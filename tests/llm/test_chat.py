@@ -48,6 +48,25 @@ def test_parts_join_to_the_whole(spark):
         assert [s for r in mine for s in learned(r)] == learned(whole[1, who, 0])
 
 
+def test_ties_and_null_keys_are_cut_too(spark):
+    ties = [(1, 7, f"p{i % 2}", f"say {i:03}") for i in range(150)]
+    equal = [(2, 7, "p0", "same")] * 150
+    nulls = [(None, None, f"p{i % 3}", f"say {i:03}") for i in range(150)] + [(None, 700, "p0", "last")]
+    sparse = [(3, t, "p0", f"say {t}") for t in (-1, 5, 640)]
+    got = rotated(spark, ties + equal + nulls + sparse)
+    for conv, turns, last in ((1, ties, 2), (2, equal, 2), (None, nulls, 2)):
+        names = {t[2] for t in turns}
+        assert {(who, part) for c, who, part in got if c == conv} == {(who, part) for who in names for part in range(last + 1)}
+        for who in names:
+            mine = [got[conv, who, k] for k in range(last + 1)]
+            assert [r["n_turns"] for r in mine] == [64, 64, len(turns) - 128]
+            said = sorted(turns, key=lambda t: (t[1] or 0, t[2], t[3]))
+            heads = ["assistant" if t[2] == who else f"user name={t[2]}" for t in said]
+            assert "".join(r["rendered"] for r in mine) == "".join(f"<|im_start|>{h}\n{t[3]}<|im_end|>\n" for h, t in zip(heads, said))
+            assert [s for r in mine for s in learned(r)] == [t[3] + "<|im_end|>" for t in said if t[2] == who]
+    assert {part for c, _, part in got if c == 3} == {-1, 0, 10}
+
+
 def test_query_over_given_turns(spark):
     turns = rows(spark.read.parquet(f"{SMALL}/conversations.parquet"))
     pairs = {(t["conv_id"], t["role"]) for t in turns if t["role"] != "system"}
