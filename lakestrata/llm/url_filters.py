@@ -6,7 +6,7 @@ Two URLs are aliases when a chain of redirects (``<meta http-equiv=refresh>``) a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,8 @@ TAG = r"(?is)<(?:link|meta)\b[^>]*\b(?:canonical|refresh)\b[^>]*>"
 CANONICAL = r"""(?is)\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""
 REFRESH = r"""(?is)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""
 HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+BASE = r"""(?is)<base\s(?:[^>]*\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+DOTS = r"^[^?]*/\.\.?(?:[/?]|\z)"
 TARGET = r"""(?is)\burl\s*=\s*['"]?\s*([^"'>\s]+)"""
 
 
@@ -54,13 +56,35 @@ def rule_of(rules: Sequence[Rule], host: str = "host", path: str = "path") -> Co
     return F.coalesce(*found) if found else F.lit(None).cast("struct<site:string,verdict:string>")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` written into the plan once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _without_dots(node: Column) -> Column:
+    """A node whose path has no ``.`` and ``..`` segments (RFC 3986, 5.2.4); others come back as they are."""
+    none = F.array().cast("array<string>")
+
+    def walk(kept: Column, s: Column) -> Column:
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(s == ".", kept).when(s == "..", up).otherwise(F.concat(kept, F.array(s)))
+
+    def rebuilt(parts: Column) -> Column:
+        end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+        walked = F.aggregate(F.slice(parts, 2, F.size(parts)), none, walk)
+        return F.concat(F.get(parts, 0), F.lit("/"), F.array_join(F.concat(walked, end), "/"))
+
+    parts = F.split(F.regexp_extract(node, "(?s)^[^?]*", 0), "/", -1)
+    return F.when(node.rlike(DOTS), F.concat(_once(parts, rebuilt), F.regexp_extract(node, r"(?s)\?.*$", 0))).otherwise(node)
+
+
 def node_of(url: Column) -> Column:
-    """The graph node of a URL: host, path and query; NULL where there is no host."""
+    """The graph node of a URL: host, path without dot segments, query; NULL where there is no host."""
     rest = F.regexp_extract(url, "(?s)://([^#]*)", 1)
     host = F.translate(F.regexp_extract(rest, "^[^/?]*", 0), UPPER, LOWER)
     tail = F.regexp_extract(rest, "(?s)^[^/?]*(.*)$", 1)
     tail = F.when(tail == "", "/").when(tail.startswith("?"), F.concat(F.lit("/"), tail)).otherwise(tail)
-    return F.when(host != "", F.concat(host, tail))
+    return _once(F.when(host != "", F.concat(host, tail)), _without_dots)
 
 
 def resolved(base: Column, href: Column) -> Column:
@@ -81,15 +105,23 @@ def resolved(base: Column, href: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(source, target)`` nodes of every redirect and canonical link in ``pages``."""
-    tags = pages.select(F.col(url).alias("_url"), F.explode(F.regexp_extract_all(html, F.lit(TAG), F.lit(0))).alias("_tag"))
+    """``(source, target)`` nodes of every redirect and canonical link in ``pages``.
+
+    Relative targets are seen from the page's first ``<base href>``, if it names a site, else from the page.
+    """
+    found = pages.select(F.col(url).alias("_url"), F.col(html).alias("_html"), F.explode(F.regexp_extract_all(html, F.lit(TAG), F.lit(0))).alias("_tag"))
+    named = F.concat(*(F.regexp_extract("_html", BASE, k) for k in (1, 2, 3)))
+    seen = lambda name: _once(resolved(F.col("_url"), name), lambda b: F.when(b.contains("://"), b))
+    base = _once(named, lambda name: F.when(name != "", seen(name)))
+    tags = found.select("_url", "_tag", F.coalesce(base, F.col("_url")).alias("_base"))
     tag = F.col("_tag")
     href = F.concat(*(F.regexp_extract(tag, HREF, k) for k in (1, 2, 3)))
     target = F.when(tag.rlike(CANONICAL) & (href != ""), href).when(
         tag.rlike(REFRESH) & tag.rlike(TARGET), F.regexp_extract(tag, TARGET, 1)
     )
-    links = tags.select("_url", target.alias("_href")).filter("_href is not null")
-    edges = links.select(node_of(F.col("_url")).alias("source"), node_of(resolved(F.col("_url"), F.col("_href"))).alias("target"))
+    links = tags.select("_url", "_base", target.alias("_href")).filter("_href is not null")
+    target = _once(F.col("_base"), lambda b: _once(F.col("_href"), lambda h: _once(resolved(b, h), node_of)))
+    edges = links.select(node_of(F.col("_url")).alias("source"), target.alias("target"))
     return edges.filter("source is not null and target is not null and source <> target")
 
 

@@ -101,3 +101,20 @@ def test_sql_agrees_on_links(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet'")
     assert compare(judge_pages(df, URL_RULES), con, url_filters_sql(URL_RULES)) == []
+
+
+def test_dot_segments_and_base(spark):
+    link = '<link rel=canonical href="{}">'
+    pages = [
+        (1, "http://a.net/x/y/1", link.format("../../es/2")),
+        (2, "http://b.org/p/../q", ""),
+        (3, "http://c.net/es/3", link.format("http://b.org/./q")),
+        (4, "http://d.org/x/y", '<base target=_blank><base href="//e.net/fr/z/">' + link.format("./4")),
+        (5, "http://f.org/5", "<base href='data:x'><meta http-equiv=refresh content='0; url=/../g/..'>"),
+    ]
+    df = spark.createDataFrame([(*p, "") for p in pages], PAGES)
+    assert {(r["source"], r["target"]) for r in rows(alias_edges(df))} == {
+        ("a.net/x/y/1", "a.net/es/2"), ("c.net/es/3", "b.org/q"), ("d.org/x/y", "e.net/fr/z/4"), ("f.org/5", "f.org/"),
+    }
+    got = {r["page_id"]: r["verdict"] for r in judged(spark, pages).values()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
