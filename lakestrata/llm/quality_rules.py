@@ -53,8 +53,8 @@ def text_features(documents: DataFrame, text: str = "text", keep: Sequence[str]
     """``keep`` columns, the base counts, ``base_failed`` and the metrics of every text.
 
     NULL is an empty text. Repeated windows are found by sorting (window hash, place) pairs packed
-    into one long per word: the place takes as many low bits as the text needs, so a window hash has
-    at least 40 bits up to 16 million words, 54 at a thousand.
+    into one long per word: the place takes as many low bits as the text needs. Windows that share
+    what is left of their hashes are then sorted by their words, and only equal words count.
     """
     base = documents.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     cut = base.withColumn("_words", F.filter(F.split("_text", WORD_GAP), lambda w: w != "")).withColumn(
@@ -73,9 +73,26 @@ def text_features(documents: DataFrame, text: str = "text", keep: Sequence[str]
     )
     at = lambda j: F.get("_sorted", j)
     same = lambda x, y: F.coalesce(_hash_of(x) == _hash_of(y), F.lit(False))
-    repeated = hashed.withColumn(
+    word = lambda i: F.get("_words", i.cast("int"))
+    alike = hashed.withColumn(
+        "_alike",
+        F.sort_array(
+            F.transform(
+                F.transform(F.filter("_sorted", lambda x, j: same(x, at(j - 1)) | same(x, at(j + 1))), _place_of),
+                lambda i: F.struct(F.struct(word(i - 1).alias("a"), word(i).alias("b"), word(i + 1).alias("c")).alias("words"), i.alias("place")),
+            )
+        ),
+    )
+    by = lambda j: F.get("_alike", j)["words"]
+    equal = lambda x, y: F.coalesce(x == y, F.lit(False))
+    repeated = alike.withColumn(
         "_places",
-        F.sort_array(F.transform(F.filter("_sorted", lambda x, j: same(x, at(j - 1)) | same(x, at(j + 1))), _place_of)),
+        F.sort_array(
+            F.transform(
+                F.filter("_alike", lambda x, j: equal(x["words"], by(j - 1)) | equal(x["words"], by(j + 1))),
+                lambda x: x["place"],
+            )
+        ),
     )
     words = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))

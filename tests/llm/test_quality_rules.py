@@ -35,6 +35,13 @@ def test_counts_against_brute_force(spark):
         assert got[i]["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
 
 
+def test_windows_of_equal_hash_are_compared_by_words(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "_hash_of", lambda packed: packed * 0)
+    texts = {1: "a b c d e f g h", 2: "a b c d a b c e f", 3: "a a a a", 4: "x y", 5: "b c a b c a d e f b c"}
+    for r in rows(quality_rules.text_features(documents(spark, texts), "text", ["doc_id"])):
+        assert tuple(r[c] for c in COUNTS) == expected(texts[r["doc_id"]])
+
+
 def test_counts_on_given_texts(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in table.collect() if len(r["text"]) < 2_000}
