@@ -9,9 +9,11 @@ import public_tokenizers
 
 import corpus_pipeline
 from lakestrata.llm import (
+    centroids,
     chat,
     fingerprints,
     near_dedup,
+    negatives,
     packing,
     quality_classifier,
     quality_rules,
@@ -19,6 +21,7 @@ from lakestrata.llm import (
     sampled_pieces,
     sql,
     token_counts,
+    top_k,
     url_filters,
 )
 from lakestrata.llm.url_filters import Rule
@@ -83,6 +86,19 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, shifted)
+
+
 QUERIES: Registered = {
     "op1_url_filters": (op1_url_filters, sql.url_filters_sql(URL_RULES)),
     "op2_quality_rules": (op2_quality_rules, sql.quality_rules_sql()),
@@ -95,4 +111,7 @@ QUERIES: Registered = {
     "op9_sampled_pieces": (op9_sampled_pieces, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
+    "op11_exact_top_k": (op11_exact_top_k, sql.top_k_sql()),
+    "op12_centroid_clustering": (op12_centroid_clustering, sql.clustering_sql()),
+    "op13_hard_negatives": (op13_hard_negatives, sql.negatives_sql()),
 }

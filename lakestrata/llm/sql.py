@@ -142,3 +142,78 @@ cutoffs AS (
 beyond AS (SELECT DISTINCT rid FROM measured JOIN cutoffs USING (stratum, metric) WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rid NOT IN (SELECT rid FROM beyond) AS kept, stratum FROM shares"""
+
+
+#: usable vectors by row number, one row per component
+_COMPONENTS = """given AS (
+  SELECT row_number() OVER (ORDER BY vec_id, label) AS rid, vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL),
+parts AS (
+  SELECT rid, vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place FROM given),
+usable AS (
+  SELECT rid, count(*) AS width FROM parts GROUP BY rid HAVING bool_and(x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x))),
+v AS MATERIALIZED (
+  SELECT rid, vec_id, label, width, place, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts JOIN usable USING (rid))"""
+
+
+def top_k_sql() -> str:
+    return f"""
+WITH {_COMPONENTS},
+scored AS (
+  SELECT q.rid AS qid, q.vec_id AS query_id, d.rid, d.vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.place = d.place AND q.rid <> d.rid WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id, rid) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def negatives_sql() -> str:
+    return f"""
+WITH {_COMPONENTS},
+w AS (
+  SELECT rid, vec_id, place, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM v WHERE label IS NOT NULL),
+scored AS MATERIALIZED (
+  SELECT a.rid AS aid, a.vec_id AS anchor_id, d.rid, d.vec_id, a.label = d.label AS alike, CAST(sum(a.x * d.x) AS BIGINT) AS score
+  FROM w a JOIN w d ON a.place = d.place AND a.rid <> d.rid WHERE a.vec_id % 50 = 0 GROUP BY ALL),
+positives AS (
+  SELECT aid, anchor_id, rid AS pid, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY aid ORDER BY score DESC, vec_id, rid) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.aid, pid ORDER BY s.score DESC, s.vec_id, s.rid) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.aid = s.aid AND NOT s.alike
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+
+def clustering_sql(k: int = 40, rounds: int = 5, seed: int = 2, width: int = 64) -> str:
+    def assigned(n: int) -> str:
+        return f"""
+a{n} AS MATERIALIZED (
+  SELECT rid, vec_id, cluster, distance FROM (
+    SELECT p.rid, p.vec_id, c.cluster, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS distance
+    FROM points p JOIN c{n} c USING (place) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, cluster) = 1)"""
+
+    def moved(n: int) -> str:
+        return f"""
+c{n + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.place, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN (
+    SELECT cluster, place, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM points JOIN a{n} USING (rid) GROUP BY cluster, place) m USING (cluster, place))"""
+
+    steps = ",".join(x for n in range(rounds) for x in (assigned(n), moved(n)))
+    return f"""
+WITH {_COMPONENTS},
+points AS MATERIALIZED (SELECT * FROM v WHERE width = {width}),
+firsts AS (
+  SELECT rid, CAST(row_number() OVER (ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR)), rid) - 1 AS INTEGER) AS cluster
+  FROM (SELECT DISTINCT rid, vec_id FROM points)),
+c0 AS MATERIALIZED (SELECT cluster, place, x FROM points JOIN firsts USING (rid) WHERE cluster < {k}),{steps},{assigned(rounds)},
+names AS (
+  SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN names USING (cluster)
+"""

@@ -16,8 +16,10 @@ def test_query_against_sql(spark, name):
 
 
 def test_sql_wherever_it_can_say_it():
-    assert WITH_SQL == ["op1_url_filters", "op2_quality_rules", "op8_chat_formatting"]
-    assert len(QUERIES) == 11
+    assert WITH_SQL == [
+        "op11_exact_top_k", "op12_centroid_clustering", "op13_hard_negatives", "op1_url_filters", "op2_quality_rules", "op8_chat_formatting"
+    ]
+    assert len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", ["op4_document_fingerprints", "op6_token_counts", "op9_sampled_pieces"])
