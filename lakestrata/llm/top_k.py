@@ -21,7 +21,7 @@ FOUND = "query_row long, query_id long, row long, vec_id long, score long"
 
 
 class Postings:
-    """One shard: per term the places of documents that hold it, and their weights by place."""
+    """One shard: per term the places of the documents that hold it, and weights by place."""
 
     def __init__(self, values: np.ndarray):
         self.size = len(values)
@@ -33,7 +33,7 @@ class Postings:
     def _gather(self, term: int, weight: int, first: int, end: int, sums: np.ndarray) -> None:
         """Add a term's part to the sums of the documents ``first`` to ``end - 1``."""
         places = self.places[term]
-        if len(places) == self.size:
+        if 2 * len(places) > self.size:  # a list that most documents are on is read with its gaps
             sums += weight * self.weights[term, first:end]
         else:
             places = places[np.searchsorted(places, first) : np.searchsorted(places, end)]
