@@ -77,7 +77,7 @@ def _assigned(centers: np.ndarray, moved: np.ndarray | None, loosened: np.ndarra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, members = np.zeros((k, width), np.int64), np.zeros(k, np.int64)
-        radius, measured = np.zeros(k), 0
+        radius, measured, inertia = np.zeros(k), 0, np.zeros(k, np.int64)
         for batch in batches:
             points = matrix(batch.column("values"), width)
             if moved is None:
@@ -94,13 +94,15 @@ def _assigned(centers: np.ndarray, moved: np.ndarray | None, loosened: np.ndarra
                 cluster[open_], upper[open_], lower[open_] = _measured(points[open_], centers)
                 measured += len(open_)
             apart = points - centers[cluster]
+            distance = (apart * apart).sum(axis=1)
             np.add.at(total, cluster, points)
+            np.add.at(inertia, cluster, distance)
             members += np.bincount(cluster, minlength=k)
             np.maximum.at(radius, cluster, upper)
             yield _batch(
                 len(points),
                 row=batch.column("row"), id=batch.column("id"), values=batch.column("values"),
-                cluster=cluster.astype(np.int32), upper=upper, lower=lower, distance=(apart * apart).sum(axis=1),
+                cluster=cluster.astype(np.int32), upper=upper, lower=lower, distance=distance,
             )
         held = np.flatnonzero(members)
         if len(held):
@@ -109,7 +111,7 @@ def _assigned(centers: np.ndarray, moved: np.ndarray | None, loosened: np.ndarra
             offsets = pa.array(np.arange(len(held) + 1, dtype=np.int32) * width)
             yield _batch(
                 len(held),
-                cluster=held.astype(np.int32), upper=radius[held], members=members[held], measured=spent,
+                cluster=held.astype(np.int32), upper=radius[held], distance=inertia[held], members=members[held], measured=spent,
                 total=pa.ListArray.from_arrays(offsets, pa.array(total[held].ravel())),
             )
 
@@ -128,18 +130,20 @@ def _batch(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(_KINDS))
 
 
-def _sums(state: DataFrame, k: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Component sums (exact), members and radius of each cluster, and how many vectors were measured
-    against all centroids. Only k * width sums reach the driver."""
+def _sums(state: DataFrame, k: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Component sums (exact), members, radius and inertia of each cluster, and how many vectors were
+    measured against all centroids. Only k * width sums reach the driver."""
     tasks = state.filter("total is not null")
-    totals, members, radius, measured = np.zeros((k, width), object), np.zeros(k, object), np.zeros(k), 0
-    for row in tasks.groupBy("cluster").agg(F.sum("members").alias("n"), F.max("upper").alias("r"), F.sum("measured").alias("m")).collect():
-        members[row["cluster"]], radius[row["cluster"]] = row["n"], row["r"]
+    totals, members, radius, inertia, measured = np.zeros((k, width), object), np.zeros(k, object), np.zeros(k), np.zeros(k, object), 0
+    of_cluster = (F.sum("members").alias("n"), F.max("upper").alias("r"), F.sum(F.col("distance").cast("decimal(38,0)")).alias("d"), F.sum("measured").alias("m"))
+    for row in tasks.groupBy("cluster").agg(*of_cluster).collect():
+        c = row["cluster"]
+        members[c], radius[c], inertia[c] = row["n"], row["r"], int(row["d"])
         measured += row["m"]
     parts = tasks.select("cluster", F.posexplode("total").alias("place", "part"))
     for row in parts.groupBy("cluster", "place").agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("part")).collect():
         totals[row["cluster"], row["place"]] = int(row["part"])
-    return totals, members, radius, measured
+    return totals, members, radius, inertia, measured
 
 
 def cluster_vectors(
@@ -184,7 +188,7 @@ def cluster_vectors(
             fs.delete(spark, last)
         last = path
         state = stored.filter("total is null").select("row", "id", "values", "cluster", "upper", "lower")
-        totals, members, radius, spent = _sums(stored, len(centers), width)
+        totals, members, radius, inertia, spent = _sums(stored, len(centers), width)
         if measured is not None:
             measured.append(spent)
         if n < rounds:
@@ -195,10 +199,10 @@ def cluster_vectors(
             loosened = loosening(centers, new, radius)
             centers = new
     placed = stored.filter("total is null").select(F.col("id").alias(key), "cluster", "distance")
-    digests = [(c, hashlib.sha256(",".join(map(str, v.tolist())).encode()).hexdigest()) for c, v in enumerate(centers)]
-    # k rows each
-    named = spark.createDataFrame(digests, "cluster int, centroid_sha256 string")
-    inertia = placed.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    whole = inertia.agg(F.sum("cluster_inertia").alias("inertia"))
-    summary = inertia.join(F.broadcast(named), "cluster").join(F.broadcast(whole))
+    digests = [hashlib.sha256(",".join(map(str, v.tolist())).encode()).hexdigest() for v in centers]
+    whole = sum(inertia)
+    # k rows
+    summary = spark.createDataFrame(
+        [(c, inertia[c], whole, digest) for c, digest in enumerate(digests)], "cluster int, cluster_inertia long, inertia long, centroid_sha256 string"
+    )
     return placed.join(F.broadcast(summary), "cluster").select(key, "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
