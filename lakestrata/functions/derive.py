@@ -47,6 +47,12 @@ def percent_of(part: Column | str, whole: Column | str) -> Column:
     return F.when(whole != 0, or_zero(part) / whole * 100).otherwise(F.lit(0.0))
 
 
+def timestamp_of(day: Column | str, time: Column | str) -> Column:
+    """The moment that a date and a time of day given as text name; NULL where either is NULL or they name none."""
+    day, time = ((F.col(c) if isinstance(c, str) else c).cast("string") for c in (day, time))
+    return F.try_to_timestamp(F.concat(day, F.lit(" "), time), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+
 def padded(number: Column | str, width: int) -> Column:
     """Digits with leading zeros, at least ``width`` of them; longer numbers stay whole."""
     digits = (F.col(number) if isinstance(number, str) else number).cast("string")

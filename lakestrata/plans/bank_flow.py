@@ -12,7 +12,7 @@ from lakestrata.operators.aggregate import layer_counts
 from lakestrata.operators.quality import expectation_report
 from lakestrata.plans import bank
 from lakestrata.sources import ingest, settings, tables
-from lakestrata.sources.paths import KIND_KEY, resolve_path
+from lakestrata.sources.paths import KIND_KEY, resolve_path, root_keys
 from lakestrata.streaming.append import append_refresh, read_appended
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
 from lakestrata.streaming.key_refresh import join_refresh, key_refresh, prune, read_keyed
@@ -57,8 +57,14 @@ class BankTables:
         columns: tuple[str, str] = settings.COLUMNS,
         **options,
     ) -> BankTables:
-        """Landing folders below the storage root, and type codes, both from a settings table."""
+        """Landing folders below the storage root, and type codes, both from a settings table.
+
+        Only the storage kind, its own keys and the codes are read, however large the table is.
+        """
         found = settings.load_settings(spark, table, (KIND_KEY, bank.TYPE_CODES_KEY), columns)
+        of_kind = root_keys(found[KIND_KEY])
+        if of_kind:
+            found |= settings.load_settings(spark, table, of_kind, columns)
         landing = {source: resolve_path(found, folder) for source, folder in folders.items()}
         return cls(spark, landing, root, type_codes=found[bank.TYPE_CODES_KEY], **options)
 

@@ -7,9 +7,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.functions.derive import padded
-from lakestrata.functions.draws import date_in, pick, uniform, weighted
+from lakestrata.functions.derive import padded, timestamp_of
+from lakestrata.functions.draws import below, date_in, draw, pick, uniform, weighted
 from lakestrata.operators import synth
+from lakestrata.operators.index import dense_index
+from lakestrata.operators.lookup import join_by_position
 from lakestrata.plans import bank
 from lakestrata.plans.queries import Registered, table
 
@@ -68,6 +70,29 @@ def l6_composed_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def l6_composed_timestamp(spark: SparkSession, sf: str) -> DataFrame:
+    """A moment composed of a drawn date and a drawn time of day, both as text; some times name none."""
+    drawn = _keys(spark, sf).withColumn("day_text", date_in(date(2005, 1, 1), date(2025, 12, 31), "day", "o_orderkey").cast("string"))
+    parts = [padded(below(limit, salt, "o_orderkey"), 2) for limit, salt in ((25, "hour"), (60, "minute"), (60, "second"))]
+    timed = drawn.withColumn("time_text", F.when(below(10, "known", "o_orderkey") > 0, F.concat_ws(":", *parts)))
+    return timed.withColumn("happened_at", timestamp_of("day_text", "time_text").cast("timestamp_ntz"))
+
+
+def c4_join_on_computed_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole order lines with the customer at a computed position. A third of them share one position;
+    some have none, some one past the end, and keep a NULL."""
+    customers = dense_index(table(spark, sf, "customer").select("c_custkey"), ["c_custkey"])
+    size = customers.agg(F.max("idx") + 1).first()[0]
+    slot = (
+        F.when(F.col("l_partkey") % 3 == 0, F.lit(7))
+        .when(F.col("l_linenumber") == 7, F.lit(None))
+        .when(F.col("l_linenumber") == 6, F.lit(size))
+        .otherwise(draw("slot", "l_orderkey", "l_linenumber") % F.lit(size))
+    )
+    lines = table(spark, sf, "lineitem").withColumn("slot", slot)
+    return join_by_position(lines, "slot", customers)
+
+
 def l7_draw_parent(spark: SparkSession, sf: str) -> DataFrame:
     return synth.draw_parent(_keys(spark, sf), "o_orderkey", table(spark, sf, "customer"), "c_custkey", "parent")
 
@@ -140,6 +165,14 @@ QUERIES: Registered = {
         lpad(CAST(o_orderkey + 1000000 AS VARCHAR), 5, '0') AS short_id, amount - fee AS net FROM (
         SELECT o_orderkey, {_pick(FIRST, 'first', _K)} AS first_name, {_pick(LAST, 'last', _K)} AS last_name, {_TYPE} AS kind,
           {_uniform(10, 100_000, 'amount', _K)} AS amount, {_uniform(10, 1_000, 'fee', _K)} AS fee FROM orders)"""),
+    "l6_composed_timestamp": (l6_composed_timestamp, f"""SELECT *, try_strptime(day_text || ' ' || time_text, '%Y-%m-%d %H:%M:%S') AS happened_at FROM (
+        SELECT o_orderkey, CAST(DATE '2005-01-01' + CAST({_draw('day', _K)} % (DATE '2025-12-31' - DATE '2005-01-01') AS INTEGER) AS VARCHAR) AS day_text,
+          CASE WHEN {_draw('known', _K)} % 10 > 0 THEN concat_ws(':', {", ".join(f"lpad(CAST({_draw(s, _K)} % {n} AS VARCHAR), 2, '0')" for n, s in ((25, 'hour'), (60, 'minute'), (60, 'second')))}) END AS time_text
+        FROM orders)"""),
+    "c4_join_on_computed_index": (c4_join_on_computed_index, f"""SELECT l.*, c_custkey FROM (SELECT *,
+          CASE WHEN l_partkey % 3 = 0 THEN 7 WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN (SELECT count(*) FROM customer)
+            ELSE {_draw('slot', "l_orderkey || '|' || l_linenumber")} % (SELECT count(*) FROM customer) END AS slot FROM lineitem) l
+        LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS slot FROM customer) USING (slot)"""),
     "l7_draw_parent": (l7_draw_parent, f"""SELECT o_orderkey, c_custkey FROM orders JOIN (
         SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS slot FROM customer)
         ON {_draw('parent', _K)} % (SELECT count(*) FROM customer) = slot"""),
@@ -158,4 +191,3 @@ QUERIES: Registered = {
         UNION ALL SELECT k, 'new#' || lpad(CAST(k AS VARCHAR), 9, '0'), 0, {_uniform(10, 100_000, 'balance', 'k')},
           {_pick(SEGMENTS, 'segment', 'k')} FROM fresh"""),
 }
-QUERIES["c4_join_on_computed_index"] = QUERIES["l7_draw_parent"]

@@ -10,6 +10,11 @@ VOLUME_KIND, VOLUME_KEYS = "Volume", ("catalogoVolume", "esquemaVolume", "nombre
 BUCKET_KIND, BUCKET_KEY = "AmazonS3", "bucketS3"
 
 
+def root_keys(kind: str | None) -> tuple[str, ...]:
+    """The settings a storage kind needs for its root; none for an unknown kind."""
+    return {VOLUME_KIND: VOLUME_KEYS, BUCKET_KIND: (BUCKET_KEY,)}.get(kind, ())
+
+
 def resolve_path(settings: Mapping[str, str], relative: str) -> str:
     """The absolute URI of ``relative``; raises ValueError on an unknown storage kind."""
     kind = settings.get(KIND_KEY)

@@ -33,7 +33,7 @@ def test_master(master):
 def test_balances_are_one_to_one(master):
     out = bank_data.balances(master)
     check = quality.one_to_one_check(master, out, "CUSTID", "CUSTID").first()
-    assert tuple(check) == (N, N, 0, 0, 0)
+    assert tuple(check) == (0, 0, N, N, 0, 0, 0)
     seq = out.agg(F.min("BLSQ"), F.max("BLSQ"), F.count_distinct("BLSQ")).first()
     assert tuple(seq) == (1, N, N)
     shares = class_shares(out, "BLACT", {k: float(w) for k, w in bank.ACCOUNT_TYPE_WEIGHTS}, 3.0)

@@ -78,6 +78,20 @@ def test_from_settings(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_from_settings_on_a_volume(spark):
+    name = "control_" + new_scratch(spark, "t").rsplit("-", 1)[-1]
+    pairs = {"TipoStorage": "Volume", "catalogoVolume": "c", "esquemaVolume": "s", bank.TYPE_CODES_KEY: "X,Y,Z", "bucketS3": "unused"}
+    replace_settings(spark, name, pairs)
+    with pytest.raises(KeyError, match="nombreVolume"):
+        BankTables.from_settings(spark, name, {"customers": "in/c"}, "r")
+    replace_settings(spark, name, {**pairs, "nombreVolume": "v"})
+    assert BankTables.from_settings(spark, name, {"customers": "in/c"}, "r").landing == {"customers": "/Volumes/c/s/v/in/c"}
+    replace_settings(spark, name, {**pairs, "TipoStorage": "Tape"})
+    with pytest.raises(ValueError, match="Tape"):
+        BankTables.from_settings(spark, name, {"customers": "in/c"}, "r")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_tidy_keeps_the_tables(kept):
     before = rowset(kept.customers())
     kept.tidy()

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.functions.derive import difference, fingerprint, percent_of, product, tiers
+from lakestrata.functions.derive import difference, fingerprint, percent_of, product, tiers, timestamp_of
 from lakestrata.operators.aggregate import (
     Metric, class_shares, conditional_metrics, finish_metrics, frequency, merge_partials, next_key, partial_metrics, top_k,
 )
@@ -155,3 +155,9 @@ def test_bank_wider_mapping_is_carried(spark):
     names = {**bank.CUSTOMER_NAMES, "CUSSX": "sexo_cliente", "CUSXX": "nunca_presente"}
     view = bank.customer_view(masters, balances, customer_names=names, newest_by=["FechaIngestaDatos"])
     assert view.first()["sexo_cliente"] == "F" and "nunca_presente" not in view.columns
+
+
+def test_timestamp_of_date_and_time_text(spark):
+    rows = [("2024-02-29", "23:59:58"), ("2023-02-29", "10:00:00"), ("2024-01-01", "24:00:00"), (None, "10:00:00"), ("2024-01-01", None), ("", "")]
+    df = spark.createDataFrame(rows, "d string, t string").select(timestamp_of("d", "t").cast("string").alias("at"))
+    assert [r["at"] for r in df.collect()] == ["2024-02-29 23:59:58", None, None, None, None, None]

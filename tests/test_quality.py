@@ -71,7 +71,8 @@ def test_keys_and_references(spark):
     assert tuple(quality.key_check(right, "k").first()) == (3, 3, 3, True, True)
     assert tuple(quality.reference_check(left, right, "k", "k").first()) == (1, 1)
     assert tuple(quality.reference_check(left.limit(0), right, "k", "k").first()) == (0, 0)
-    assert tuple(quality.one_to_one_check(left, right, "k", "k").first()) == (4, 3, 1, 1, 1)
+    assert tuple(quality.one_to_one_check(left, right, "k", "k").first()) == (0, 0, 4, 3, 1, 1, 1)
+    assert tuple(quality.one_to_one_check(left.union(left.select(F.lit(None).cast("long"))), right, "k", "k").first()) == (4, 0, 4, 3, 1, 1, 1)
 
 
 def test_violations_count_unknown(df):
