@@ -72,12 +72,13 @@ def observe_rules(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, O
 
 def observed_report(spark: SparkSession, observation: Observation, rules: Mapping[str, str]) -> DataFrame:
     """The report of an observation; only to be read after its action succeeded."""
+    return spark.createDataFrame([(name, *counts) for name, counts in observed_counts(observation, rules).items()], REPORT)
+
+
+def observed_counts(observation: Observation, rules: Mapping[str, str]) -> dict[str, list[int]]:
+    """Met, unmet and unknown rows by rule; only to be read after the action succeeded."""
     seen = observation.get
-    rows = [
-        (name, seen[f"met{i}"], seen["rows"] - seen[f"met{i}"], seen[f"unknown{i}"])
-        for i, name in enumerate(rules)
-    ]
-    return spark.createDataFrame(rows, REPORT)
+    return {name: [seen[f"met{i}"], seen["rows"] - seen[f"met{i}"], seen[f"unknown{i}"]] for i, name in enumerate(rules)}
 
 
 def drop_unmet(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

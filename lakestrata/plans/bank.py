@@ -177,7 +177,16 @@ def current_rows(bronze: DataFrame, names: Mapping[str, str], newest_by: Sequenc
 
 def join_current(master: DataFrame, balances: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """The view from one row per customer on each side; customers without balance stay."""
-    joined = left_once(drop_present(master, CONTROL_COLUMNS), drop_present(balances, CONTROL_COLUMNS), [KEY])
+    return _customer_columns(left_once(drop_present(master, CONTROL_COLUMNS), drop_present(balances, CONTROL_COLUMNS), [KEY]), names)
+
+
+def paired_view(pairs: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """The view from (``KEY``, newest master row, newest balance row or NULL)."""
+    parts = [F.col(f"{side}.`{f}`") for side in ("left", "right") for f in pairs.schema[side].dataType.names if f not in CONTROL_COLUMNS]
+    return _customer_columns(pairs.select(KEY, *parts), names)
+
+
+def _customer_columns(joined: DataFrame, names: Mapping[str, str]) -> DataFrame:
     derived = rename_project(joined, names).withColumns(
         {
             "clasificacion_riesgo_cliente": risk_tier(),

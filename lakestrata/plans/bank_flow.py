@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -9,15 +11,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.operators.aggregate import layer_counts
-from lakestrata.operators.quality import expectation_report
+from lakestrata.operators.project import skipped_names
 from lakestrata.plans import bank
-from lakestrata.sources import ingest, settings, tables
+from lakestrata.sources import fs, ingest, settings, tables
+from lakestrata.sources.checked import rule_counts
 from lakestrata.sources.paths import KIND_KEY, resolve_path, root_keys
-from lakestrata.streaming.append import append_refresh, read_appended
+from lakestrata.streaming.append import BATCH, append_refresh, read_appended
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
-from lakestrata.streaming.key_refresh import join_refresh, key_refresh, prune, read_keyed
+from lakestrata.streaming.view_refresh import fold_view, newest_pairs, read_view, stateful_session, view_refresh
 
 CUSTOMERS, BALANCES, TRANSACTIONS = "customers", "balances", "transactions"
+VIEW_KEY = "identificador_cliente"
+#: the tables with expectations: their folder and rules
+CHECKED = {CUSTOMERS: ("silver/customer_view", bank.CUSTOMER_RULES), TRANSACTIONS: ("silver/transactions", bank.TRANSACTION_RULES)}
+REPORT = "run long, table_name string, rule string, met long, unmet long, unknown long, upto long, carried boolean"
 LEAD = {
     CUSTOMERS: (ingest.INGEST_TS, bank.KEY),
     BALANCES: (ingest.INGEST_TS, bank.KEY),
@@ -29,14 +36,16 @@ LEAD = {
 class BankTables:
     """All tables below ``root``. To rebuild everything from the files, update a new ``root``.
 
-    ``landing`` maps customers, balances and transactions to their folders. ``buckets`` splits the
-    customer tables; choose it once, for a few files' worth of customers per bucket.
+    ``landing`` maps customers, balances and transactions to their folders. ``buckets`` is
+    the number of parts of the customer state; choose it once, for the customers to come. A
+    micro-batch takes at most ``max_files`` files of a source.
     """
 
     spark: SparkSession
     landing: Mapping[str, str]
     root: str
     buckets: int = 64
+    max_files: int = 1_000
     type_codes: str = bank.TYPE_CODES
     scale: int | None = None
     names: Mapping[str, Mapping[str, str]] = field(
@@ -69,11 +78,18 @@ class BankTables:
         return cls(spark, landing, root, type_codes=found[bank.TYPE_CODES_KEY], **options)
 
     def update(self) -> None:
-        """Take in new files and bring every table up to date; independent steps run side by side."""
+        """Take in new files and bring every table up to date; independent steps run side by side.
+
+        The expectations of what the run processed are counted while it is written, and logged with
+        it: a run that was cut short is made up for by the next one.
+        """
         with ThreadPoolExecutor() as pool:
             list(pool.map(self._take_in, (CUSTOMERS, BALANCES, TRANSACTIONS)))
             list(pool.map(lambda step: step(), (self._update_customers, self._update_transactions)))
         tables.full_refresh(bank.customer_profile(self.customers(), self.activity()), f"{self.root}/gold/profile")
+        self._log_expectations()
+        for source, names in self.skipped().items():
+            logging.getLogger(__name__).warning("%s has no column for %s", source, ", ".join(names))
 
     def _take_in(self, source: str) -> None:
         folder = f"{self.root}/bronze/{source}"
@@ -83,39 +99,31 @@ class BankTables:
         )
 
     def _update_customers(self) -> None:
-        with ThreadPoolExecutor() as pool:
-            list(pool.map(self._update_current, (CUSTOMERS, BALANCES)))
-        join_refresh(
-            self.spark,
-            (self._now(CUSTOMERS), self._now_schema(CUSTOMERS)),
-            (self._now(BALANCES), self._now_schema(BALANCES)),
-            f"{self.root}/silver/customer_view", ["identificador_cliente"], self.buckets, self._join,
-        )
-
-    def _update_current(self, source: str) -> None:
-        key_refresh(
-            bank.mapped_columns(self._stream(source), self.names[source], bank.NEWEST_BY),
-            self._now(source), f"{self.root}/silver/{source}_checkpoint", [bank.KEY], bank.NEWEST_BY, self.buckets,
+        own = stateful_session(self.spark, self.buckets)
+        left, right = (bank.mapped_columns(self._stream(s, own), self.names[s], bank.NEWEST_BY) for s in (CUSTOMERS, BALANCES))
+        folder, rules = CHECKED[CUSTOMERS]
+        view_refresh(
+            left, right, f"{self.root}/{folder}", f"{self.root}/{folder}_checkpoint",
+            [bank.KEY], (bank.NEWEST_BY, bank.NEWEST_BY), self._pair, [VIEW_KEY], rules,
         )
 
     def _update_transactions(self) -> None:
+        folder, rules = CHECKED[TRANSACTIONS]
         append_refresh(
-            self._stream(TRANSACTIONS), self._enrich,
-            f"{self.root}/silver/transactions", f"{self.root}/silver/transactions_checkpoint",
-            ["fecha_transaccion", "identificador_cliente"],
+            self._stream(TRANSACTIONS), self._enrich, f"{self.root}/{folder}", f"{self.root}/{folder}_checkpoint",
+            bank.TRANSACTION_CLUSTER, rules,
         )
         silver = self.spark.readStream.schema(self.transactions().schema).option("maxFileAge", ingest.MAX_FILE_AGE)
         group_refresh(
-            silver.parquet(f"{self.root}/silver/transactions"),
+            silver.option("maxFilesPerTrigger", self.max_files).parquet(f"{self.root}/{folder}"),
             f"{self.root}/gold/activity", f"{self.root}/gold/activity_checkpoint",
-            "identificador_cliente", "tipo_transaccion", "monto_principal",
+            VIEW_KEY, "tipo_transaccion", "monto_principal",
             self.scale,
         )
 
     def tidy(self) -> None:
-        """Remove replaced copies of customer buckets; run it while nobody reads."""
-        for folder in (self._now(CUSTOMERS), self._now(BALANCES), f"{self.root}/silver/customer_view"):
-            prune(self.spark, folder)
+        """Fold the customer view into one folder."""
+        fold_view(self.spark, f"{self.root}/{CHECKED[CUSTOMERS][0]}", self._view_schema(), [VIEW_KEY])
 
     # --- the tables --------------------------------------------------------------------------
 
@@ -124,8 +132,7 @@ class BankTables:
         return ingest.read_ingested(self.spark, f"{folder}/table", f"{folder}/schema")
 
     def customers(self) -> DataFrame:
-        empty = (self.spark.createDataFrame([], self._now_schema(s)) for s in (CUSTOMERS, BALANCES))
-        return read_keyed(self.spark, f"{self.root}/silver/customer_view", self._join(*empty).schema)
+        return read_view(self.spark, f"{self.root}/{CHECKED[CUSTOMERS][0]}", self._view_schema(), [VIEW_KEY])
 
     def transactions(self) -> DataFrame:
         schema = self._enrich(self.bronze(TRANSACTIONS)).schema
@@ -148,8 +155,20 @@ class BankTables:
         return list(found)
 
     def expectations(self) -> DataFrame:
-        customers = expectation_report(self.customers(), bank.CUSTOMER_RULES)
-        return customers.unionByName(expectation_report(self.transactions(), bank.TRANSACTION_RULES))
+        """Per table and rule the rows of the newest run that had any: met, unmet, and unknown among those."""
+        runs = self._runs()
+        if not runs:
+            return self.spark.createDataFrame([], REPORT).drop("run", "upto", "carried")
+        return self._reports(f"{runs[-1]}.json").drop("run", "upto", "carried")
+
+    def expectation_history(self) -> DataFrame:
+        """The same of every run and table that had rows to process."""
+        return self._reports("*.json").filter("NOT carried").drop("upto", "carried")
+
+    def skipped(self) -> dict[str, list[str]]:
+        """Mapped columns that the files taken in so far don't have, by source; the views lack them."""
+        found = {s: skipped_names(self.bronze(s), self.names[s]) for s in (CUSTOMERS, BALANCES, TRANSACTIONS)}
+        return {s: names for s, names in found.items() if names}
 
     def counts(self) -> DataFrame:
         named = {f"bronze.{s}": self.bronze(s) for s in (CUSTOMERS, BALANCES, TRANSACTIONS)}
@@ -158,18 +177,42 @@ class BankTables:
 
     # --- helpers -----------------------------------------------------------------------------
 
-    def _stream(self, source: str) -> DataFrame:
+    def _stream(self, source: str, session: SparkSession | None = None) -> DataFrame:
         folder = f"{self.root}/bronze/{source}"
-        return ingest.stream_ingested(self.spark, f"{folder}/table", f"{folder}/schema")
-
-    def _now(self, source: str) -> str:
-        return f"{self.root}/silver/{source}_now"
-
-    def _now_schema(self, source: str):
-        return bank.mapped_columns(self.bronze(source), self.names[source], bank.NEWEST_BY).schema
-
-    def _join(self, master: DataFrame, balances: DataFrame) -> DataFrame:
-        return bank.join_current(master, balances, {**self.names[CUSTOMERS], **self.names[BALANCES]})
+        return ingest.stream_ingested(session or self.spark, f"{folder}/table", f"{folder}/schema", self.max_files)
+
+    def _view_schema(self):
+        columns = (bank.mapped_columns(self.bronze(s), self.names[s], bank.NEWEST_BY) for s in (CUSTOMERS, BALANCES))
+        empty = (self.spark.createDataFrame([], c.schema) for c in columns)
+        return self._pair(newest_pairs(*empty, [bank.KEY], (bank.NEWEST_BY, bank.NEWEST_BY))).schema
+
+    def _pair(self, pairs: DataFrame) -> DataFrame:
+        return bank.paired_view(pairs, {**self.names[CUSTOMERS], **self.names[BALANCES]})
+
+    def _runs(self) -> list[int]:
+        """Numbers of the logged runs, one small file each."""
+        return sorted(int(n.removesuffix(".json")) for n in fs.list_names(self.spark, f"{self.root}/control/expectations") if n.endswith(".json"))
+
+    def _reports(self, name: str) -> DataFrame:
+        return self.spark.read.schema(REPORT).json(f"{fs.escape_glob(self.root)}/control/expectations/{name}")
+
+    def _log_expectations(self) -> None:
+        """One file per run: the counts of the batches since the last logged one, or that one's carried on."""
+        log, runs = f"{self.root}/control/expectations", self._runs()
+        last = map(json.loads, fs.read_text(self.spark, f"{log}/{runs[-1]}.json").splitlines()) if runs else ()
+        known: dict[str, list[dict]] = {}
+        for line in last:
+            known.setdefault(line["table_name"], []).append(line)
+        run, lines = (runs[-1] + 1 if runs else 0), []
+        for table, (folder, _) in CHECKED.items():
+            upto = known[table][0]["upto"] if table in known else -1
+            new = [n for n in tables.numbered(self.spark, f"{self.root}/{folder}", BATCH) if n > upto]
+            if not new:
+                lines += [line | {"carried": True} for line in known.get(table, [])]
+            counted = rule_counts(self.spark, f"{self.root}/{folder}", [f"{BATCH}={n}" for n in new])
+            for rule, (met, unmet, unknown) in counted.items():
+                lines.append({"run": run, "table_name": table, "rule": rule, "met": met, "unmet": unmet, "unknown": unknown, "upto": new[-1], "carried": False})
+        fs.write_text(self.spark, f"{log}/{run}.json", "\n".join(map(json.dumps, lines)))
 
     def _enrich(self, bronze: DataFrame) -> DataFrame:
         return bank.transaction_view(bronze, self.names[TRANSACTIONS])

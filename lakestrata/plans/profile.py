@@ -75,6 +75,16 @@ def join_latest(customer: DataFrame, newest_orders: DataFrame) -> DataFrame:
         rename_project(newest_orders, ORDER_NAMES, strict=True),
         ["customer_id"],
     )
+    return _derived(joined)
+
+
+def paired_view(pairs: DataFrame) -> DataFrame:
+    """The view from (``c_custkey``, newest customer, newest order or NULL); the order's key is ``c_custkey``."""
+    flat = pairs.select("c_custkey", "left.*", "right.*")
+    return _derived(rename_project(flat, {**CUSTOMER_NAMES, **{a: b for a, b in ORDER_NAMES.items() if a != "o_custkey"}}, strict=True))
+
+
+def _derived(joined: DataFrame) -> DataFrame:
     return joined.withColumns(
         {
             "customer_fingerprint": fingerprint("customer_id"),

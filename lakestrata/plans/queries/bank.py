@@ -138,6 +138,11 @@ def two_day_tables(spark: SparkSession, sf: str) -> BankTables:
     return kept
 
 
+def two_day_expectations(spark: SparkSession, sf: str) -> DataFrame:
+    """What each of the two updates counted while it wrote: its changed customers, its new transactions."""
+    return two_day_tables(spark, sf).expectation_history()
+
+
 def two_day_profile(spark: SparkSession, sf: str) -> DataFrame:
     return two_day_tables(spark, sf).profile()
 
@@ -213,12 +218,28 @@ def _rules(view: str, rules: dict[str, str]) -> str:
     )
 
 
+def _run_rules(run: int, name: str, view: str, rules: dict[str, str]) -> str:
+    return f"SELECT CAST({run} AS BIGINT) AS run, '{name}' AS table_name, * FROM ({_rules(view, rules)})"
+
+
+_EARLY = "FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'"
+_DAY = "SELECT * FROM ({0}) WHERE fecha_transaccion {1} DATE '1999-01-01'"
+_TWO_DAYS = " UNION ALL ".join(
+    (
+        _run_rules(0, "customers", _CUSTOMERS.replace("FROM orders", _EARLY), bank.CUSTOMER_RULES),
+        _run_rules(1, "customers", _CUSTOMERS, bank.CUSTOMER_RULES),
+        _run_rules(0, "transactions", _DAY.format(_TRANSACTIONS, "<"), bank.TRANSACTION_RULES),
+        _run_rules(1, "transactions", _DAY.format(_TRANSACTIONS, ">="), bank.TRANSACTION_RULES),
+    )
+)
+
 QUERIES: Registered = {
     "bank_silver_customers": (silver_customers, _CUSTOMERS),
     "bank_silver_transactions": (silver_transactions, _TRANSACTIONS),
     "bank_gold_activity": (gold_activity, _ACTIVITY),
     "bank_gold_profile": (gold_profile, _PROFILE),
     "bank_two_day_update": (two_day_profile, _PROFILE),
+    "j1_two_day_expectations": (two_day_expectations, _TWO_DAYS),
     "bank_customer_expectations": (silver_customer_rules, _rules(_CUSTOMERS, bank.CUSTOMER_RULES)),
     "bank_transaction_expectations": (silver_transaction_rules, _rules(_TRANSACTIONS, bank.TRANSACTION_RULES)),
 }

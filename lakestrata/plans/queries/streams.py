@@ -24,9 +24,10 @@ from lakestrata.sources import tables
 from lakestrata.sources.ingest import ingest_files, read_ingested
 from lakestrata.streaming.append import append_refresh, read_appended
 from lakestrata.streaming.group_refresh import group_refresh, read_metrics
-from lakestrata.streaming.key_refresh import join_refresh, key_refresh, read_keyed
+from lakestrata.streaming.view_refresh import read_view, stateful_session, view_refresh
 
 BUCKETS = 8
+MAX_FILES = 1_000
 
 
 def i1_streaming_transform(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,28 +105,24 @@ def i3_changed_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def i4_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """The customer view after customers and two deliveries of orders, rewritten bucket by bucket."""
+    """The customer view after customers and two deliveries of orders: the second only changes its own keys."""
     root = new_scratch(spark, "i4")
     customers, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
     early = F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
     customers.write.parquet(f"{root}/customers")
-    left, right = (f"{root}/customer_now", customers.schema), (f"{root}/order_now", _renamed(orders).schema)
+    own = stateful_session(spark, BUCKETS)
 
-    def build(customer: DataFrame, newest: DataFrame) -> DataFrame:
-        return profile.join_latest(customer, newest.withColumnRenamed("c_custkey", "o_custkey"))
+    def stream(rows: DataFrame, name: str) -> DataFrame:
+        return own.readStream.schema(rows.schema).option("maxFilesPerTrigger", MAX_FILES).parquet(f"{root}/{name}")
 
     for delivery in (orders.filter(early), orders.filter(~early)):
         _renamed(delivery).write.mode("append").parquet(f"{root}/orders")
-        key_refresh(
-            spark.readStream.schema(left[1]).parquet(f"{root}/customers"),
-            left[0], f"{root}/customer_checkpoint", ["c_custkey"], ["c_name"], BUCKETS,
+        view_refresh(
+            stream(customers, "customers"), stream(_renamed(orders), "orders"), f"{root}/view", f"{root}/checkpoint",
+            ["c_custkey"], (["c_name"], ["o_orderdate", "o_orderkey"]), profile.paired_view, ["customer_id"],
         )
-        key_refresh(
-            spark.readStream.schema(right[1]).parquet(f"{root}/orders"),
-            right[0], f"{root}/order_checkpoint", ["c_custkey"], ["o_orderdate", "o_orderkey"], BUCKETS,
-        )
-        join_refresh(spark, left, right, f"{root}/view", ["customer_id"], BUCKETS, build)
-    return read_keyed(spark, f"{root}/view", build(customers, _renamed(orders)).schema)
+    schema = profile.join_latest(customers, orders).schema
+    return read_view(spark, f"{root}/view", schema, ["customer_id"])
 
 
 def _renamed(orders: DataFrame) -> DataFrame:

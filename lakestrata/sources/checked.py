@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.operators.quality import drop_unmet, fail_unmet, observe_rules, observed_report
-from lakestrata.sources.tables import drop_versions, next_version, show, stage
+from lakestrata.operators.quality import drop_unmet, fail_unmet, observe_rules, observed_counts, observed_report
+from lakestrata.sources import fs
+from lakestrata.sources.tables import drop_versions, next_version, published, show, stage
+
+RULES_FILE = "_rules.json"
 
 KEEP, DROP, FAIL = "keep", "drop", "fail"
 
@@ -33,3 +37,31 @@ def checked_refresh(
     show(spark, root, folder)
     drop_versions(spark, root, keep)
     return report
+
+
+def publish_checked(df: DataFrame, root: str, folder: str, rules: Mapping[str, str]) -> None:
+    """``publish``, counting the rules of all rows in the pass that writes them.
+
+    The counts lie in the folder before it is shown, so a folder that is there has them, and a
+    repeated unit neither loses nor doubles any.
+    """
+    spark = df.sparkSession
+    if published(spark, root, folder):
+        return
+    if not rules:
+        stage(df, root, folder)
+    else:
+        watched, observation = observe_rules(df, rules)
+        stage(watched, root, folder)
+        fs.write_text(spark, f"{root}/_staging/{folder}/{RULES_FILE}", json.dumps(observed_counts(observation, rules)))
+    show(spark, root, folder)
+
+
+def rule_counts(spark: SparkSession, root: str, folders: list[str]) -> dict[str, list[int]]:
+    """Per rule the rows that met it, did not, and were unknown, over the named folders of one run."""
+    total: dict[str, list[int]] = {}
+    for folder in folders:
+        if fs.exists(spark, f"{root}/{folder}/{RULES_FILE}"):
+            for name, counts in json.loads(fs.read_text(spark, f"{root}/{folder}/{RULES_FILE}")).items():
+                total[name] = [a + b for a, b in zip(total.get(name, [0, 0, 0]), counts)]
+    return total

@@ -6,6 +6,7 @@ from lakestrata.plans import bank
 from lakestrata.plans.bank_flow import BankTables
 from lakestrata.plans.queries import bank as queries
 from lakestrata.session import new_scratch
+from lakestrata.sources import fs
 from lakestrata.sources.settings import replace_settings
 from tests.conftest import SMALL
 
@@ -50,6 +51,32 @@ def test_expectations_name_every_rule(kept):
     assert sorted(found) == sorted([*bank.CUSTOMER_RULES, *bank.TRANSACTION_RULES])
 
 
+def test_expectations_are_those_of_the_last_run_with_rows(spark, kept):
+    """test_update_without_news ran in between: a run without rows carries the counts on."""
+    history = {(r["run"], r["table_name"], r["rule"]): (r["met"], r["unmet"]) for r in kept.expectation_history().collect()}
+    last = {(r["table_name"], r["rule"]): (r["met"], r["unmet"]) for r in kept.expectations().collect()}
+    assert {run for run, _, _ in history} == {0, 1}
+    assert last == {(t, rule): counts for (run, t, rule), counts in history.items() if run == 1}
+    assert sum(history[0, "customers", "identificador_cliente_no_nulo"]) == sum(history[1, "customers", "identificador_cliente_no_nulo"]) == 150
+    both = [sum(history[run, "transactions", "monto_neto_positivo"]) for run in (0, 1)]
+    assert min(both) > 0 and sum(both) == kept.transactions().count()
+
+
+def test_a_run_cut_short_before_its_log_is_made_up_for(spark, kept):
+    before = rowset(kept.expectation_history().drop("run"))
+    for name in fs.list_names(spark, f"{kept.root}/control/expectations"):
+        if name != "0.json":
+            fs.delete(spark, f"{kept.root}/control/expectations/{name}")
+    kept.update()
+    assert rowset(kept.expectation_history().drop("run")) == before
+
+
+def test_skipped_columns_are_named(spark, kept):
+    assert kept.skipped() == {}
+    wider = BankTables(spark, kept.landing, kept.root, names={**kept.names, "balances": {**kept.names["balances"], "BLCN": "credito_utilizado"}})
+    assert wider.skipped() == {"balances": ["BLCN"]}
+
+
 def test_adhoc_sql(spark, kept):
     assert set(kept.views()) >= {"bronze_customers", "silver_customers", "gold_profile"}
     tiers = spark.sql(
