@@ -114,7 +114,8 @@ PROFILE_CUSTOMER_COLUMNS = (
 )
 
 KEY = "CUSTID"
-NEWEST_BY = (ingest.INGEST_TS, ingest.SOURCE_TIME, ingest.SOURCE_FILE)
+# which file brought a row, and its place in it: tells any two rows apart
+NEWEST_BY = (ingest.INGEST_TS, ingest.SOURCE_TIME, ingest.SOURCE_FILE, ingest.SOURCE_ROW)
 
 
 def risk_tier(score: str = "score_cliente", level: str = "nivel_riesgo", grade: str = "calificacion_crediticia") -> Column:
@@ -172,7 +173,7 @@ def mapped_columns(bronze: DataFrame, names: Mapping[str, str], newest_by: Seque
 
 
 def current_rows(bronze: DataFrame, names: Mapping[str, str], newest_by: Sequence[str]) -> DataFrame:
-    return latest_per_key(mapped_columns(bronze, names, newest_by), [KEY], newest_by)
+    return latest_per_key(mapped_columns(bronze, names, newest_by), [KEY], newest_by, unique=tuple(newest_by) == NEWEST_BY)
 
 
 def join_current(master: DataFrame, balances: DataFrame, names: Mapping[str, str]) -> DataFrame:

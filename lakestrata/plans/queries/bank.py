@@ -47,6 +47,7 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1").alias("ingest_ts"),
         F.lit("1").alias("source_time"),
         F.lit("1").alias("source_file"),
+        F.lit(0).cast("long").alias("source_row"),
         F.lit(None).cast("string").alias("_rescued_data"),
     )
 
@@ -67,7 +68,8 @@ def balance_rows(orders: DataFrame) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("BLOD"),
         F.col("o_orderdate").alias("ingest_ts"),
         F.lit("1").alias("source_time"),
-        F.col("o_orderkey").alias("source_file"),
+        F.lit("1").alias("source_file"),
+        F.col("o_orderkey").alias("source_row"),
     )
 
 
@@ -123,7 +125,7 @@ def two_day_tables(spark: SparkSession, sf: str) -> BankTables:
     early = F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
     moved = transactions(spark, sf)
     before = F.col("TRXDT") < F.lit("1999-01-01").cast("date")
-    people = master(spark, sf).drop("ingest_ts", "source_time", "source_file", "_rescued_data")
+    people = master(spark, sf).drop("ingest_ts", "source_time", "source_file", "source_row", "_rescued_data")
     folders = {s: f"{landing}/{s}" for s in ("customers", "balances", "transactions")}
     kept = BankTables(spark, folders, f"{landing}/tables", buckets=8, scale=2)
     days = [
@@ -131,7 +133,7 @@ def two_day_tables(spark: SparkSession, sf: str) -> BankTables:
         (people, orders.filter(~early), moved.filter(~before)),
     ]
     for number, (customers, redelivered, transacted) in enumerate(days, 1):
-        newest = balance_rows(latest_orders(redelivered)).drop("ingest_ts", "source_time", "source_file")
+        newest = balance_rows(latest_orders(redelivered)).drop("ingest_ts", "source_time", "source_file", "source_row")
         for name, rows in (("customers", customers), ("balances", newest), ("transactions", transacted)):
             rows.write.parquet(f"{folders[name]}/año=2026/mes=1/dia={number}")
         kept.update()

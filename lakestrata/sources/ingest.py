@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import repeat
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -26,13 +28,16 @@ BATCH = "ingest_batch"
 INGEST_TS = "ingest_ts"
 SOURCE_FILE = "source_file"
 SOURCE_TIME = "source_time"
+SOURCE_ROW = "source_row"
 RESCUED = "_rescued_data"
-CONTROL = (INGEST_TS, SOURCE_FILE, SOURCE_TIME, RESCUED, BATCH)
+CONTROL = (INGEST_TS, SOURCE_FILE, SOURCE_TIME, SOURCE_ROW, RESCUED, BATCH)
 
 # Spark's file source forgets, and would skip, files older than this next to the newest one.
 MAX_FILE_AGE = "36500d"
 
 _FILE_LIST = "path string, modificationTime timestamp, length long, content binary"
+_SPARK_TYPES = "org.apache.spark.sql.parquet.row.metadata"
+FOOTER_READERS = 32
 _CONFLICTS = ("CANNOT_MERGE_", "CONFLICTING_PARTITION_COLUMN_NAMES", "CONFLICTING_DIRECTORY_STRUCTURES")
 
 
@@ -50,7 +55,8 @@ def ingest_files(
 
     ``key=value`` folders become columns. ``lead`` puts columns first; ``sort_by`` sorts within
     files for min/max skipping. A rerun with no new files changes nothing, and a batch cut short
-    is repeated as a whole. A late file is a new file whatever its age.
+    is repeated as a whole. A late file is a new file whatever its age. Beside the ingest timestamp
+    every row keeps its file, the file's time and its place in the file, which identify it for good.
     """
     require_checkpoint(spark, bool(numbered(spark, target, BATCH)), target, checkpoint)
     names = (
@@ -126,6 +132,7 @@ def ingested_schema(spark: SparkSession, schema_store: str) -> T.StructType:
             T.StructField(RESCUED, T.StringType()),
             T.StructField(SOURCE_FILE, T.StringType()),
             T.StructField(SOURCE_TIME, T.TimestampType()),
+            T.StructField(SOURCE_ROW, T.LongType()),
             T.StructField(INGEST_TS, T.TimestampType()),
             T.StructField(BATCH, T.LongType()),
         ]
@@ -173,16 +180,16 @@ def _read_batch(spark: SparkSession, base: str, paths: list[str], store: str, nu
             "*",
             F.col("_metadata.file_path").alias(SOURCE_FILE),
             F.col("_metadata.file_modification_time").alias(SOURCE_TIME),
+            F.col("_metadata.row_index").alias(SOURCE_ROW),
         )
-        part = fit_schema(part, schema, keep=(SOURCE_FILE, SOURCE_TIME))
+        part = fit_schema(part, schema, keep=(SOURCE_FILE, SOURCE_TIME, SOURCE_ROW))
         rows = part if rows is None else rows.unionByName(part)
     return rows
 
 
 def _folder_keys_as_text(found: T.StructType, schema: T.StructType, base: str, paths: list[str]) -> T.StructType:
     """``found`` with the folder keys that are text in the table read as text: ``code=007`` stays 007."""
-    depth = len(base.rstrip("/").split("/"))
-    keys = {part.split("=", 1)[0] for p in paths for part in p.split("/")[depth - 1 : -1] if "=" in part}
+    keys = {key for p in paths for key in _folder_keys(base, p)}
     text = {f.name.lower() for f in schema if isinstance(f.dataType, T.StringType)}
     return T.StructType(
         [
@@ -199,21 +206,51 @@ def _read(spark: SparkSession, base: str, paths: list[str], schema: T.StructType
 
 
 def schema_groups(spark: SparkSession, base: str, paths: list[str]) -> Iterator[tuple[T.StructType, list[str]]]:
-    """The files split into runs that share a schema, in path order.
+    """The files in groups that share a schema.
 
-    Spark merges the footers of all files in one distributed job; only when types conflict is the
-    run halved and each half tried again, so the usual batch costs one job.
+    Spark merges the footers of all files in one distributed job, which is all the usual batch costs.
+    When types conflict, every footer is read once for the types it declares, and each distinct
+    declaration (with the folder keys on the way to the file) is one group and one job: their number
+    follows the schemas in the batch, not its files.
     """
     try:
         yield _read(spark, base, paths, None).schema, paths
         return
     except (PySparkException, Py4JJavaError) as error:
-        # the conflict may be found inside a task, then only the message names it
-        if len(paths) == 1 or not any(c in str(error) for c in _CONFLICTS):
+        if len(paths) == 1 or not _is_conflict(error):
             raise
-    half = len(paths) // 2
-    yield from schema_groups(spark, base, paths[:half])
-    yield from schema_groups(spark, base, paths[half:])
+    alike: dict[tuple, list[str]] = {}
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        for path, declared in zip(paths, pool.map(declared_types, repeat(spark), paths)):
+            alike.setdefault((declared, _folder_keys(base, path)), []).append(path)
+    if len(alike) == 1:
+        raise ValueError(f"files below {base} declare the same types and can't be read together")
+    for group in alike.values():
+        yield _read(spark, base, group, None).schema, group
+
+
+def _is_conflict(error: Exception) -> bool:
+    """The conflict may be found inside a task: then only the message names it."""
+    return any(c in str(error) for c in _CONFLICTS)
+
+
+def declared_types(spark: SparkSession, path: str) -> str:
+    """The column types in a Parquet file's footer, as text that is equal for files of equal types.
+
+    Only the footer is read, through the session's file systems.
+    """
+    hadoop, parquet = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.org.apache.parquet.hadoop
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(hadoop(path), spark._jsc.hadoopConfiguration()))
+    try:
+        meta = reader.getFileMetaData()
+        return f"{meta.getSchema().toString()}{meta.getKeyValueMetaData().get(_SPARK_TYPES) or ''}"
+    finally:
+        reader.close()
+
+
+def _folder_keys(base: str, path: str) -> tuple[str, ...]:
+    depth = len(base.rstrip("/").split("/"))
+    return tuple(part.split("=", 1)[0] for part in path.split("/")[depth - 1 : -1] if "=" in part)
 
 
 def _merge_equal(groups: Iterator[tuple[T.StructType, list[str]]]) -> list[tuple[T.StructType, list[str]]]:

@@ -1,5 +1,9 @@
 """Incremental ingest: once each, evolving, rescuing, repeatable."""
 
+import uuid
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,3 +172,50 @@ def test_widen_keeps_known_columns():
 def test_other_errors_are_not_swallowed(table):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         list(ingest.schema_groups(table.spark, table.root, [f"{table.root}/absent.parquet"]))
+
+
+def jobs_of(spark, work):
+    """How many Spark jobs ``work`` starts."""
+    group = f"jobs-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_footers_of_drifting_files_cost_no_job_each(spark, tmp_path):
+    """Types alternate from file to file: one job for the whole, and one for each schema."""
+
+    def groups(files):
+        folder = tmp_path / f"in{files}"
+        folder.mkdir()
+        for i in range(files):
+            column = pa.array([i]) if i % 3 == 0 else pa.array([str(i)]) if i % 3 == 1 else pa.array([i / 2])
+            pq.write_table(pa.table({"id": pa.array([i]), "v": column}), f"{folder}/{i:03d}.parquet")
+        paths = sorted(f"file://{p}" for p in map(str, folder.iterdir()))
+        found = []
+        jobs = jobs_of(spark, lambda: found.extend(ingest.schema_groups(spark, f"file://{folder}", paths)))
+        assert sorted(p for _, g in found for p in g) == paths
+        assert sorted(schema["v"].dataType.simpleString() for schema, _ in found) == ["bigint", "double", "string"]
+        return jobs
+
+    # Spark lists long lists of paths by one more job each
+    assert groups(9) == 4 and groups(200) == 8
+
+
+def test_drift_in_types_and_folder_keys_together(table):
+    table.drop([(1, "a")], "id long, v string", "day=1")
+    table.drop([(2, 7)], "id long, v int", "day=2")
+    table.drop([("x", 8)], "id string, v int", "day=3")
+    table.take()
+    assert sorted(table.read("id", "v", "day"), key=repr) == sorted([(1, "a", 1), (2, "7", 2), (None, "8", 3)], key=repr)
+
+
+def test_rows_keep_their_place_in_the_file(table):
+    table.drop([(i, "same") for i in range(5)], "id long, v string")
+    table.drop([(i, "same") for i in range(5)], "id long, v string")
+    table.take()
+    found = table.read("source_file", "source_row", "id")
+    assert len(set(found)) == 10 and all(row == i for _, row, i in found)

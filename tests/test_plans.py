@@ -148,3 +148,11 @@ def test_compaction_does_not_shuffle(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout, "publish", lambda df, root, folder: (seen.append(plan(df)), publish(df, root, folder)))
     layout.compact(spark, f"{tmp_path}/in", str(tmp_path), "out")
     assert "Exchange" not in seen[0]
+
+
+def test_current_rows_sort_by_their_identity_alone(shuffled):
+    text = explain(shuffled, "bank_silver_customers")
+    sorts = re.findall(r"row_number\(\) windowspecdefinition\((.*?) specifiedwindowframe", text)
+    assert len(sorts) == 2
+    for order in sorts:
+        assert len(re.findall(r"(?:ASC|DESC) NULLS", order)) == 4
