@@ -54,7 +54,7 @@ def mutate_snapshot(
     """
     spark = df.sparkSession
     top, rows = df.agg(F.max(key), F.count(F.lit(1))).collect()[0]
-    picked = pick_condition(df, [key], share_size(rows, share), salt)
+    picked = pick_condition(df, [key], share_size(rows, share), salt, rows)
     kept = df.withColumn("_picked", picked)
     for columns in rewrites:
         kept = kept.withColumns(

@@ -28,6 +28,35 @@ def test_pick_exact_count(spark, count):
     assert picked == {i for _, i in order[:count]}
 
 
+@pytest.mark.parametrize("count", [1, 3_000, 11_999, 19_999])
+def test_both_ways_find_the_same_edge(spark, count):
+    hashed = spark.range(20_000).repartition(4).select(draw("s", "id").alias("_hash"), "id")
+    edge = index._edge_in_bracket(hashed, ["_hash", "id"], count, 20_000)
+    assert edge is not None and edge == index._edge_by_prefixes(hashed, ["_hash", "id"], count)
+
+
+def test_a_hot_key_beside_the_boundary(spark):
+    """Copies of one key are half of all rows: picks on either side of them are exact, within them they raise."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    below = df.filter(draw("s", "k") < draw("s", F.lit(-1))).count()
+    for count in (below // 2, below, below + 20_001, below + 20_500):
+        assert df.filter(index.pick_condition(df, ["k"], count, "s")).count() == count
+    with pytest.raises(ValueError, match="do not identify"):
+        index.pick_condition(df, ["k"], below + 9_000, "s")
+
+
+def test_a_pick_scans_the_rows_once(spark):
+    """Beside the count, which needs no column, and the result itself."""
+    df, seen = spark.range(30_000).withColumn("k", F.col("id")), []
+    collect = index._edge_in_bracket
+    try:
+        index._edge_in_bracket = lambda *args: (seen.append("bracket"), collect(*args))[1]
+        assert df.filter(index.pick_condition(df, ["k"], 7_000, "s")).count() == 7_000
+    finally:
+        index._edge_in_bracket = collect
+    assert seen == ["bracket"]
+
+
 def test_pick_with_several_key_columns(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("a"), F.concat(F.lit("x"), F.floor(F.col("id") / 10)).alias("b"))
     assert df.filter(index.pick_condition(df, ["a", "b"], 33, "s")).count() == 33
