@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -21,6 +22,8 @@ GROUP_PIECES = 20_000
 #: fixed values: the vocabulary's split pattern and its one special token
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = "<|endoftext|>"
+LONG_BLANK = 10_000
+BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
 
 
 class _Unsafe(Exception):
@@ -32,7 +35,8 @@ class Encoder(dict):
 
     Parts between single spaces encode apart from each other when no white space touches the space,
     because the split pattern then always cuts before it; their ids are remembered. Any other text
-    is encoded whole, and one with the special token by the vocabulary's own tokenizer.
+    is encoded whole, and one with the special token or a long run of white space by the
+    vocabulary's own tokenizer.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
@@ -41,9 +45,16 @@ class Encoder(dict):
 
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.plain = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=known, special_tokens={}).encode_ordinary
+        self._plain = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=known, special_tokens={}).encode_ordinary
         self.full = Tokenizer.from_file(vocabulary)
 
+    def plain(self, text: str) -> list[int]:
+        """The ids of a text without the special token. A run of white space deepens the faster
+        encoder's stack by each of its characters, so long ones are for the vocabulary's own."""
+        if len(text) > LONG_BLANK and BLANK.search(text):
+            return self.full.encode(text, add_special_tokens=False).ids
+        return self._plain(text)
+
     def __missing__(self, part: str) -> bytes:
         if not part or part[0].isspace() or part[-1].isspace() or SPECIAL in part:
             raise _Unsafe
@@ -88,6 +99,8 @@ def cut_pieces(
     """``(key, piece, start, length, ids_crc32, ids)`` of every document's ids and the end id.
 
     Longer ones than ``capacity`` are cut into full pieces after a first one that takes the rest.
+    NULL and empty texts are the end id alone; NULL keys and repeated rows are documents like any; an
+    empty table has no pieces.
     ``ids`` are the piece's ids as little-endian unsigned 32-bit bytes, NULL unless asked for.
     """
 

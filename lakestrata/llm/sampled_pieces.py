@@ -12,63 +12,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.unigram import PRETOKEN, Vocabulary, vocabulary
-from lakestrata.llm.words import _tables, mix, numbers, slices, text_bytes
+from lakestrata.llm.unigram import PRETOKEN, Vocabulary, finder, vocabulary
+from lakestrata.llm.words import mix, numbers, slices, text_bytes
 
 U64 = np.uint64
 SHARPNESS = 0.5
 LATTICE_NODES = 2_500_000
 SLICE_BYTES = 1 << 20
-SLOT_BITS = 20
+SHARE_BITS = 52
 STEPS = numbers(31, 64)
 TINY, LIFT = 1e-150, 1e150
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
-
-
-class _Sums:
-    """Hashes of any part of a text in one step each, from running sums over its characters."""
-
-    def __init__(self, codes: np.ndarray):
-        up, self.down = _tables(len(codes) + 1)
-        self.sums = np.zeros(len(codes) + 1, U64)
-        np.cumsum(mix(codes.astype(U64) + U64(1)) * up[: len(codes)], out=self.sums[1:])
-
-    def part(self, start: np.ndarray, size: int) -> np.ndarray:
-        return (self.sums[start + size] - self.sums[start]) * self.down[start]
-
-
 class Lattices:
     """The filtered lattices of all pre-tokens met, in flat arrays.
 
     A node is a place in a pre-token, ``end`` maps a pre-token to its last one. Its edges are the
     pieces that end there, one after the other from ``first``; ``bounds`` has their chances summed
-    up. Past ``limit`` nodes it starts anew between slices, which changes no draw: chances depend on
+    up, in parts of 2**SHARE_BITS. Past ``limit`` nodes it starts anew between slices, which changes no draw: chances depend on
     the pre-token alone.
     """
 
     def __init__(self, vocab: Vocabulary, sharpness: float = SHARPNESS, limit: int = LATTICE_NODES):
         self.vocab, self.limit = vocab, limit
-        prefixes = list(vocab.prefixes.items())
-        hashes = np.concatenate([_Sums(_codes(p)).part(np.zeros(1, np.int64), len(p)) for p, _ in prefixes])
-        order = np.argsort(hashes)
-        self.known = hashes[order]
-        # where the hashes with the same leading bits begin, and the most that share them
-        slots = np.searchsorted(self.known >> U64(64 - SLOT_BITS), np.arange((1 << SLOT_BITS) + 1, dtype=U64))
-        self.slots = slots[:-1].astype(np.int32)
-        self.most = int(np.diff(slots).max())
-        self.known = np.append(self.known, np.full(self.most, self.known[-1]))
-        self.piece = np.array([i for _, i in prefixes], np.int32)[order]
-        self.weight = np.array([math.exp(sharpness * vocab.logp[i]) if i >= 0 else 0.0 for _, i in prefixes])[order]
+        self.finder = finder(vocab)
+        self.weight = np.array([math.exp(sharpness * p) for p in self.finder.logp])
         self.byte_weight = math.exp(sharpness * vocab.fallback)
         self._empty()
 
     def _empty(self) -> None:
         self.end: dict[str, int] = {}
         self.first = array("q")
-        self.bounds, self.sources, self.ids = array("d"), array("i"), array("i")
+        self.bounds, self.sources, self.ids = array("Q"), array("i"), array("i")
 
     def add(self, tokens: Iterable[str]) -> None:
         """Filter the lattices of all pre-tokens that are new."""
@@ -80,50 +55,24 @@ class Lattices:
         text = "".join(new)
         size = np.array([len(t) for t in new], np.int64)
         stop = np.cumsum(size)
-        edges = self._edges(text, np.repeat(stop, size))
+        start, end, ids, entries = self.finder.edges(text, np.repeat(stop, size))
+        weight = np.where(entries >= 0, self.weight[entries], self.byte_weight ** np.where(entries >= 0, 1, -entries))
         begin = np.repeat(stop - size, size)
-        start, end, ids, shares = self._filtered(*edges, begin)
+        start, end, ids, shares = self._filtered(start, end, ids, weight, begin)
         base = len(self.first)
         counts = np.bincount(end, minlength=len(text))
         firsts = np.cumsum(counts) - counts
-        running = np.cumsum(shares)
-        bounds = running - np.repeat(np.append(0.0, running)[firsts], counts)
-        bounds[firsts + counts - 1] = 2.0
+        # shares as whole numbers: their sums wrap around without rounding, so a node's bounds don't
+        # depend on the nodes before it
+        running = np.cumsum((shares * 2.0**SHARE_BITS).astype(U64))
+        bounds = running - np.repeat(np.append(U64(0), running)[firsts], counts)
+        bounds[firsts + counts - 1] = U64(1 << 63)
         self.first.frombytes((firsts + len(self.bounds)).astype(np.int64).tobytes())
         self.bounds.frombytes(bounds.tobytes())
         self.sources.frombytes(np.where(start > begin[end], base + start - 1, -1).astype(np.int32).tobytes())
         self.ids.frombytes(ids.astype(np.int32).tobytes())
         self.end.update(zip(new, (base + stop - 1).tolist()))
 
-    def _edges(self, text: str, stops: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Start, last character, id and weight of every piece in the joined pre-tokens.
-
-        A character that is no piece itself is an edge with id -1 - c.
-        """
-        codes = _codes(text)
-        sums = _Sums(codes)
-        alive = np.arange(len(codes))
-        single = np.zeros(len(codes), bool)
-        found = []
-        for length in range(1, self.vocab.longest + 1):
-            alive = alive[alive + length <= stops[alive]]
-            part = sums.part(alive, length)
-            at = self.slots[part >> U64(64 - SLOT_BITS)]
-            hit = self.known[at] == part
-            for k in range(1, self.most):
-                later = self.known[at + k] == part
-                at = np.where(later & ~hit, at + k, at)
-                hit |= later
-            alive, at = alive[hit], np.minimum(at[hit], len(self.piece) - 1)
-            whole = self.piece[at] >= 0
-            if length == 1:
-                single[alive[whole]] = True
-            found.append((alive[whole], alive[whole] + length - 1, self.piece[at[whole]], self.weight[at[whole]]))
-        odd = np.flatnonzero(~single)
-        width = 1 + (codes[odd] >= 0x80).astype(int) + (codes[odd] >= 0x800) + (codes[odd] >= 0x10000)
-        found.append((odd, odd, -1 - codes[odd].astype(np.int64), self.byte_weight**width))
-        return tuple(np.concatenate(c) for c in zip(*found))
-
     def _filtered(self, start, end, ids, weight, begin) -> tuple[np.ndarray, ...]:
         """Edges in order of their end with their share of its forward sum.
 
@@ -157,7 +106,7 @@ class Lattices:
         """First edges of the nodes; bounds, source nodes (-1 at the start) and piece ids of the
         edges, -1 - c for the bytes of a character c. Views: they must go before another lattice
         comes in."""
-        views = ((self.first, np.int64), (self.bounds, float), (self.sources, np.int32), (self.ids, np.int32))
+        views = ((self.first, np.int64), (self.bounds, U64), (self.sources, np.int32), (self.ids, np.int32))
         return tuple(np.frombuffer(v, kind) if len(v) else np.zeros(0, kind) for v, kind in views)
 
 
@@ -172,8 +121,8 @@ def _drawn_edges(first: np.ndarray, bounds: np.ndarray, u: np.ndarray) -> np.nda
 
 
 def _uniform(seeds: np.ndarray, step: int) -> np.ndarray:
-    """Numbers in [0, 1) that depend on seed and step alone."""
-    return (mix(seeds + STEPS[step % len(STEPS)] + U64(step)) >> U64(11)).astype(float) * 2.0**-53
+    """Whole numbers below 2**SHARE_BITS that depend on seed and step alone."""
+    return mix(seeds + STEPS[step % len(STEPS)] + U64(step)) >> U64(64 - SHARE_BITS)
 
 
 def sample(lattices: Lattices, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

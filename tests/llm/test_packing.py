@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -27,6 +28,15 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, repr(text)
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t\u3000 \r\n", "x", "ab1"])
+def test_long_runs_equal_the_tokenizer(run):
+    """2 million blanks, or many letters, alone and between words."""
+    encoder, full = packing.Encoder(*FILES), Tokenizer.from_file(FILES[0])
+    long = run * ((2_000_000 if run.isspace() else 200_000) // len(run))
+    for text in (long, f"one two{long}three four", f"one {long}"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == full.encode(text, add_special_tokens=False).ids
+
+
 def check(spark, pairs):
     got = rows(packing.pack_documents(documents(spark, pairs).withColumn("offset", F.lit(1)), *FILES, with_ids=True))
     by_document = {}

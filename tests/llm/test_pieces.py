@@ -1,5 +1,7 @@
 import math
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -40,9 +42,64 @@ def test_counts_are_the_likeliest_segmentation():
 
 def test_shared_prefixes_are_scored_once():
     trie = token_counts.Trie(vocabulary(MODEL))
-    assert trie[" tokens"] and len(trie.scores) == 8
-    assert trie[" tokenize"] and len(trie.scores) == 11
-    assert trie[" token"] and len(trie.scores) == 11
+    alone = {t: token_counts.Trie(vocabulary(MODEL))[t] for t in (" tokens", " token", " tokenize", " to", "a tokens")}
+    assert trie.count([" tokens", " token", " tokenize", " tokens", " to"]) == [alone[t] for t in (" tokens", " token", " tokenize", " tokens", " to")]
+    assert trie.scored == len(" tokens") + len("ize")
+    assert trie.count([" to", "a tokens", ""]) == [alone[" to"], alone["a tokens"], 0] and trie.scored == 10 + len("a tokens")
+
+
+def test_counts_do_not_depend_on_what_is_counted_together(monkeypatch):
+    vocab, draw = vocabulary(MODEL), random.Random(4)
+    tokens = ["".join(draw.choice(" aeinrtz日é🙂") for _ in range(draw.randrange(1, 30))) for _ in range(400)]
+    tokens += [draw.choice("xyz ") * draw.randrange(200, 400) for _ in range(20)] + ["ab" * 3_000, "q" * 257, "q" * 256]
+    alone = [token_counts.Trie(vocab)[t] for t in tokens]
+    assert token_counts.Trie(vocab).count(tokens) == alone
+    monkeypatch.setattr(token_counts, "PART_CHARS", 50)
+    assert token_counts.Trie(vocab, limit=30).count(tokens) == alone
+    monkeypatch.setattr(token_counts, "TRIE_DEPTH", 2)
+    assert token_counts.Trie(vocab).count(tokens) == alone
+
+
+def test_one_long_text_takes_little_memory():
+    """4 MB without a break, in a process of its own."""
+    code = f"""
+import resource
+from lakestrata.llm.token_counts import Trie
+from lakestrata.llm.unigram import vocabulary
+own = Trie(vocabulary({MODEL!r}))
+text = 'x1Zq' * 1_000_000
+own['warm up']
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert own[text] > 0
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 60
+
+
+def test_bounds_do_not_depend_on_what_is_filtered_together():
+    vocab, draw = vocabulary(MODEL), random.Random(6)
+    some = ["".join(draw.choice(" aeinrt") for _ in range(12)) for _ in range(50)] + [" the", "日本", "z" * 90]
+    others = list({"".join(draw.choice("abcdefghij ") for _ in range(9)) for _ in range(60_000)})
+
+    def bounds(tokens):
+        lattices = sampled_pieces.Lattices(vocab)
+        lattices.add(tokens)
+        first, edges, _, _ = lattices.arrays()
+        found = {}
+        for t in some:
+            node = lattices.end[t]
+            stop = first[node + 1] if node + 1 < len(first) else len(edges)
+            found[t] = edges[first[node] : stop].tolist()
+        return found
+
+    alone = {}
+    for t in some:
+        lattices = sampled_pieces.Lattices(vocab)
+        lattices.add([t])
+        first, edges, _, _ = lattices.arrays()
+        alone[t] = edges[first[lattices.end[t]] :].tolist()
+    assert bounds(some + others) == alone
 
 
 def test_counts_of_awkward_tables(spark):
