@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.components import components
+from lakestrata.llm.names import apart
 from lakestrata.llm.words import mix, numbers, shingle_hashes, slices, text_bytes, word_hashes
 from lakestrata.session import new_scratch
 
@@ -26,7 +27,7 @@ BANDS = 32
 CHUNK_MEMBERS = 256
 BLOCK_BYTES = 2 << 20
 
-SIGNATURES = "_key long, n_shingles long, digest_a long, digest_b long, bands array<long>"
+SIGNATURES = "_key long, version long, n_shingles long, digest_a long, digest_b long, bands array<long>"
 STARS = "leader long, member long, size long, linked boolean, difference binary"
 LINKS = "first long, second long"
 
@@ -77,11 +78,12 @@ def _signatures(permutations: int, bands: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_key"),
+                        batch.column("version"),
                         pa.array(sizes),
                         *(pa.array(d.view(np.int64)) for d in digests),
                         pa.ListArray.from_arrays(offsets, flat),
                     ],
-                    ["_key", "n_shingles", "digest_a", "digest_b", "bands"],
+                    ["_key", "version", "n_shingles", "digest_a", "digest_b", "bands"],
                 )
 
     return run
@@ -192,7 +194,7 @@ def near_duplicates(
     permutations: int = PERMUTATIONS,
     bands: int = BANDS,
 ) -> DataFrame:
-    """``(key, n_shingles, component_id, kept)`` for every row of ``documents``.
+    """``(key, n_shingles, component_id, kept)`` for every row of ``documents``, an empty table has none.
 
     Two documents link when their sets of five-word shingles (A-Z lower-cased; fewer words are one
     shingle) have at least ``percent`` hundredths of their union in common. ``component_id`` is the
@@ -204,10 +206,16 @@ def near_duplicates(
     nothing. Rows that share a key are one document, known by the text with the least digest; all of
     them get its component. NULL keys have the component NULL and are kept.
     """
+    return _judged(documents, key, text, percent, permutations, bands).select(key, "n_shingles", "component_id", "kept")
+
+
+def _judged(documents: DataFrame, key: str, text: str, percent: int, permutations: int, bands: int) -> DataFrame:
+    """``near_duplicates`` with ``version``, a hash of the text, and ``compared``: whether the row's text
+    is the one that its key is known by."""
     spark = documents.sparkSession
     path = new_scratch(spark, "signatures")
     texts = documents.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    texts.mapInArrow(_signatures(permutations, bands), SIGNATURES).write.parquet(path)
+    texts.withColumn("version", F.xxhash64("_text")).mapInArrow(_signatures(permutations, bands), SIGNATURES).write.parquet(path)
     signed = spark.read.schema(SIGNATURES).parquet(path)
     digest = ["digest_a", "digest_b"]
     held = signed.filter("n_shingles > 0 and _key is not null")
@@ -227,24 +235,32 @@ def near_duplicates(
     requests = asked.unionByName(heads).join(nodes.select(F.col("_key").alias("member"), "digest_a"), "member")
     links = _confirmed(requests, texts, percent)
     joined = components(links, "first", "second").select(F.col("node").alias("rep"), "component")
-    named = nodes.join(classes, digest).join(joined, "rep", "left").select("_key", F.coalesce("component", "rep").alias("component"))
-    found = signed.select("_key", "n_shingles").join(named, "_key", "left")
+    named = nodes.join(classes, digest).join(joined, "rep", "left").select(
+        "_key", F.coalesce("component", "rep").alias("component"), F.struct(*digest).alias("known_by")
+    )
+    found = signed.select("_key", "version", "n_shingles", F.struct(*digest).alias("own")).join(named, "_key", "left")
     component = F.coalesce("component", "_key")
     return found.select(
         F.col("_key").alias(key),
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(component == F.col("_key"), F.lit(True)).alias("kept"),
+        "version",
+        F.coalesce(F.col("own") == F.col("known_by"), F.lit(False)).alias("compared"),
     )
 
 
 def drop_near_duplicates(
     documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, permutations: int = 128, bands: int = 42
 ) -> DataFrame:
-    """``documents`` without the rows whose key is not its group's least; columns unchanged.
+    """``documents`` without the rows whose key is not its group's least; same columns, whatever their names.
 
-    At 0.8, 128 permutations as 42 bands of 6 values miss a pair with probability 3e-6.
+    A row only goes if its own text was compared: other texts under the key of a near copy stay, and
+    so do rows with a NULL key, texts without words, and all rows that are equal to a kept one. At
+    0.8, 128 permutations as 42 bands of 6 values miss a pair with probability 3e-6.
     """
-    judged = near_duplicates(documents, key, text, percent, permutations, bands)
-    gone = judged.filter("not kept").select(F.col(key).alias("_gone")).distinct()
-    return documents.join(gone, documents[key] == gone["_gone"], "left_anti")
+    docs, (key_, text_) = apart(documents, key, text)
+    judged = _judged(docs, key_, text_, percent, permutations, bands)
+    gone = judged.filter("not kept and compared").select(F.col(key_).alias("_gone"), F.col("version").alias("_gone_version")).distinct()
+    same = (F.col(key_).cast("long") == F.col("_gone")) & (F.xxhash64(text_) == F.col("_gone_version"))
+    return docs.join(gone, same, "left_anti").toDF(*documents.columns)

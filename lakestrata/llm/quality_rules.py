@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.llm.names import apart
 from lakestrata.session import new_scratch
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -246,8 +247,10 @@ def keep_documents(
     risk: float = RISK,
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """The rows of ``documents`` that ``judge_documents`` keeps; same columns."""
-    judged = _judged(documents, labels, key, text, stratum, label, risk, confidence)
-    gone = judged.filter("not kept").select(F.col(key).alias("_gone"), F.col("_version").alias("_gone_version")).distinct()
-    same = documents[key].eqNullSafe(F.col("_gone")) & (version_of(text) == F.col("_gone_version"))
-    return documents.join(gone, same, "left_anti")
+    """The rows of ``documents`` that ``judge_documents`` keeps; same columns, whatever their names."""
+    docs, (key_, text_, stratum_) = apart(documents, key, text, stratum)
+    known = labels.select(F.col(key).alias(key_), F.col(label).alias("label"))
+    judged = _judged(docs, known, key_, text_, stratum_, "label", risk, confidence)
+    gone = judged.filter("not kept").select(F.col(key_).alias("_gone"), F.col("_version").alias("_gone_version")).distinct()
+    same = F.col(key_).eqNullSafe(F.col("_gone")) & (version_of(text_) == F.col("_gone_version"))
+    return docs.join(gone, same, "left_anti").toDF(*documents.columns)

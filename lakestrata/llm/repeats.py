@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.llm.names import apart
 from lakestrata.llm.words import BYTE_VALUES, PLACES, _tables, mix, slices, text_bytes
 from lakestrata.session import new_scratch
 
@@ -445,14 +446,15 @@ def remove_repeats(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
+            texts = batch.column(text_).to_pylist()
             for row, spans in enumerate(batch.column("_spans").to_pylist()):
                 if spans:
                     texts[row] = _kept(texts[row].encode(), spans)[0].decode(errors="ignore")
-            at = batch.schema.get_field_index(text)
+            at = batch.schema.get_field_index(text_)
             changed = batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type))
             yield changed.select(names)
 
-    names = documents.columns
-    joined = _apply(documents, key, text, least, seed, chunk)
-    return joined.select(*(F.col(f"`{c}`") for c in names), "_spans").mapInArrow(run, documents.schema)
+    docs, (key_, text_) = apart(documents, key, text)
+    names = docs.columns
+    joined = _apply(docs, key_, text_, least, seed, chunk)
+    return joined.select(*names, "_spans").mapInArrow(run, docs.schema).toDF(*documents.columns)

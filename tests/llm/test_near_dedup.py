@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.llm import near_dedup
+from lakestrata.llm import near_dedup, quality_rules, repeats
 from lakestrata.llm.components import components
 from lakestrata.llm.words import shingle_sets
 from tests.conftest import SMALL
@@ -85,6 +86,31 @@ def test_awkward_tables(spark):
     assert rows(near_dedup.near_duplicates(spark.createDataFrame([], DOCUMENTS))) == []
 
 
+def test_other_texts_under_the_key_of_a_copy_stay(spark):
+    copied, other = prose(31, 80), prose(32, 80)
+    docs = documents(spark, [(1, copied), (2, copied), (2, other), (3, other + " end"), (4, copied), (None, copied)])
+    left = sorted(((r["doc_id"], r["text"]) for r in rows(near_dedup.drop_near_duplicates(docs))), key=str)
+    texts = {(i, t) for i, t in left}
+    assert (1, copied) in texts and (4, copied) not in texts and (None, copied) in texts
+    # of the two texts under 2 one was compared; no text is lost altogether
+    assert (2, other) in texts or (3, other + " end") in texts and {t for _, t in texts} >= {copied}
+
+
+@pytest.mark.parametrize("names", [["_gone", "_gone_version", "version", "band"], ["_key", "_text", "_version", "_spans"], ["column_0", "column_1", "kept", "compared"]])
+def test_columns_may_have_any_name(spark, names):
+    """All stages that return whole rows."""
+    docs = documents(spark, {1: prose(31, 80), 2: prose(31, 80), 3: prose(32, 80)})
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(f"x{i}"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for made, ids in (
+        (near_dedup.drop_near_duplicates(docs), [1, 3]), (repeats.remove_repeats(docs), [1, 2, 3]), (quality_rules.keep_documents(docs, labels), [1, 2, 3])
+    ):
+        assert made.columns == docs.columns
+        got = rows(made)
+        assert sorted(r["doc_id"] for r in got) == ids and all(r[n] == f"x{i}" for r in got for i, n in enumerate(names))
+
+
 def test_signatures_are_unbiased():
     a, b = (shingle_sets(pa.array([" ".join(f"w{k}" for k in range(s, s + 504))]))[0] for s in (0, 100))
     joined, starts = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
