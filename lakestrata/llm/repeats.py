@@ -451,7 +451,7 @@ def remove_repeats(
                 if spans:
                     texts[row] = _kept(texts[row].encode(), spans)[0].decode(errors="ignore")
             at = batch.schema.get_field_index(text_)
-            changed = batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type))
+            changed = batch.set_column(at, text_, pa.array(texts, batch.schema.field(at).type))
             yield changed.select(names)
 
     docs, (key_, text_) = apart(documents, key, text)
