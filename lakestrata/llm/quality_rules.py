@@ -19,21 +19,19 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
-RISK = 0.04
+RISK = 0.02
 CONFIDENCE = 0.95
 
-def _down_to(least: float) -> tuple[float, ...]:
-    """Shares from 0.95 down in steps of 0.05."""
-    return tuple(round(0.95 - 0.05 * i, 2) for i in range(round((0.95 - least) / 0.05) + 1))
-
-
-#: Cutoffs tried per metric, most lenient first; a document is rejected above its cutoff. The last
-#: ones are as strict as a rule should ever be: proven risk is spent no further than that.
+#: Cutoffs tried per metric, most lenient first, down to none at all; a document is rejected above
+#: its cutoff. How far down they go is up to the test alone.
+SHARES = tuple(round(0.95 - 0.05 * i, 2) for i in range(19)) + (0.04, 0.03, 0.02, 0.01, 0.0)
 GRIDS: Mapping[str, Sequence[float]] = {
-    "symbol_share": _down_to(0.05),
-    "capital_share": _down_to(0.30),
-    "repeat_word_share": _down_to(0.20),
-    "dup_line_share": _down_to(0.30),
+    "symbol_share": SHARES,
+    "dup_line_share": SHARES,
+    "repeat_word_share": SHARES,
+    "capital_share": SHARES,
+    "bang_share": SHARES,
+    "same_word_share": SHARES,
 }
 
 
@@ -53,7 +51,7 @@ def _place_of(packed: Column) -> Column:
 def text_features(documents: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, the base counts, ``base_failed`` and the metrics of every text.
 
-    NULL is an empty text. Repeated windows are found by sorting (window hash, place) pairs packed
+    ``same_word_share`` counts words equal to the one before, so it does not grow with a text's length. NULL is an empty text. Repeated windows are found by sorting (window hash, place) pairs packed
     into one long per word: the place takes as many low bits as the text needs. Windows that share
     what is left of their hashes are then sorted by their words, and only equal words count.
     """
@@ -111,13 +109,17 @@ def text_features(documents: DataFrame, text: str = "text", keep: Sequence[str]
             ).alias("n_repeat_words"),
             F.size("_lines").alias("_n_lines"),
             F.length(F.regexp_replace("_joined", r"[^\p{Lu}]+", "")).alias("_capitals"),
+            F.length(F.regexp_replace("_joined", r"[^!]+", "")).alias("_bangs"),
+            F.size(F.filter("_words", lambda w, i: F.coalesce(w == F.get("_words", i - 1), F.lit(False)))).alias("_n_same"),
         )
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .withColumn("symbol_share", F.col("n_symbols") / chars)
         .withColumn("dup_line_share", F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1)))
         .withColumn("repeat_word_share", F.col("n_repeat_words") / words)
         .withColumn("capital_share", F.col("_capitals") / chars)
-        .drop("_n_lines", "_capitals")
+        .withColumn("bang_share", F.col("_bangs") / chars)
+        .withColumn("same_word_share", F.col("_n_same") / words)
+        .drop("_n_lines", "_capitals", "_bangs", "_n_same")
     )
 
 

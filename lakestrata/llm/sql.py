@@ -114,16 +114,19 @@ windows AS (
   SELECT rid, i, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c FROM tokens WINDOW w AS (PARTITION BY rid ORDER BY i)),
 counted AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM windows WHERE c IS NOT NULL),
 covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM counted, (VALUES (0), (1), (2)) v(k) WHERE n > 1 GROUP BY rid),
+stuttered AS (SELECT rid, count(*) AS n_same FROM windows WHERE a = b GROUP BY rid),
 base AS (
   SELECT c.*, len(words) AS n_words, array_to_string(words, '') AS joined, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-    coalesce(n, 0) AS n_repeat_words FROM cut c LEFT JOIN covered USING (rid)),
+    coalesce(n, 0) AS n_repeat_words, coalesce(n_same, 0) AS n_same FROM cut c LEFT JOIN covered USING (rid) LEFT JOIN stuttered USING (rid)),
 counts AS (
   SELECT *, length(joined) AS word_chars, length(regexp_replace(joined, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
     n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
 shares AS (
   SELECT *, n_symbols / greatest(word_chars, 1) AS symbol_share, n_dup_lines / greatest(len(lines), 1) AS dup_line_share,
     n_repeat_words / greatest(n_words, 1) AS repeat_word_share,
-    length(regexp_replace(joined, '[^\p{{Lu}}]+', '', 'g')) / greatest(word_chars, 1) AS capital_share FROM counts),
+    length(regexp_replace(joined, '[^\p{{Lu}}]+', '', 'g')) / greatest(word_chars, 1) AS capital_share,
+    length(regexp_replace(joined, '[^!]+', '', 'g')) / greatest(word_chars, 1) AS bang_share,
+    n_same / greatest(n_words, 1) AS same_word_share FROM counts),
 measured AS ({values}),
 good AS (
   SELECT m.* FROM measured m JOIN shares s USING (rid)

@@ -81,18 +81,18 @@ def test_cutoffs_against_brute_force(spark):
 
 
 def test_verdicts(spark):
-    clean = [(i, prose(i, 80)) for i in range(1_500)]
+    clean = [(i, prose(i, 80)) for i in range(2_200)]
     junk = [(5_000 + i, " ".join(w + "###" for w in prose(i, 80).split())) for i in range(20)]
     docs = documents(spark, clean + junk + [(None, prose(1, 60)), (None, "###" * 100), (7, None)]).withColumn("kept", F.lit(1))
-    labels = spark.createDataFrame([(i, 1) for i in range(1_500)] + [(5_000, 0), (None, 1), (99_999, 1), (3, 0)], "doc_id long, quality long")
+    labels = spark.createDataFrame([(i, 1) for i in range(2_200)] + [(5_000, 0), (None, 1), (99_999, 1), (3, 0)], "doc_id long, quality long")
     got = rows(quality_rules.judge_documents(docs.drop("kept"), labels))
-    assert len(got) == 1_523
+    assert len(got) == 2_223
     for r in got:
         if r["doc_id"] is not None and r["doc_id"] != 7:
             assert r["kept"] == (r["doc_id"] < 5_000)
     left = quality_rules.keep_documents(docs, labels)
     assert left.columns == docs.columns
-    assert sorted(r["doc_id"] for r in left.collect() if r["doc_id"] is not None) == list(range(1_500))
+    assert sorted(r["doc_id"] for r in left.collect() if r["doc_id"] is not None) == list(range(2_200))
     assert left.filter("doc_id is null").count() == 1
 
 
@@ -101,3 +101,20 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality long")
     assert rows(quality_rules.judge_documents(none, labels)) == []
     assert quality_rules.keep_documents(documents(spark, {1: prose(1, 80)}), labels).count() == 1
+
+
+def test_metrics_of_odd_texts(spark):
+    texts = {1: "no no no! NO!", 2: "", 3: None, 4: "!!", 5: "a b a b"}
+    got = {r["doc_id"]: r for r in rows(quality_rules.text_features(documents(spark, texts), "text", ["doc_id"]))}
+    assert [got[i]["same_word_share"] for i in texts] == [0.25, 0, 0, 0, 0]
+    assert [got[i]["bang_share"] for i in texts] == [2 / 10, 0, 0, 1, 0]
+
+
+def test_cutoffs_go_on_until_the_test_fails(spark):
+    """No metric stops short of the strictest cutoff that the holdout proves."""
+    good = spark.createDataFrame([(i % 1500 == 0,) for i in range(3_000)], "odd boolean")
+    shares = good.select(F.lit("en").alias("lang"), *(F.when(F.col("odd"), 0.5).otherwise(0.005).alias(m) for m in quality_rules.GRIDS))
+    got = rows(quality_rules.risk_controlled_cutoffs(shares, "lang"))
+    clean = rows(quality_rules.risk_controlled_cutoffs(shares.replace(0.005, 0.0), "lang"))
+    assert {(r["metric"], r["cutoff"]) for r in got} == {(m, 0.01) for m in quality_rules.GRIDS}
+    assert {(r["metric"], r["cutoff"]) for r in clean} == {(m, 0.0) for m in quality_rules.GRIDS}
