@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.plans.queries import registered
-from lakestrata.operators import index, layout
+from lakestrata.operators import changes, index, layout
 from lakestrata.operators.joins import left_once, orphan_rows
 from tests.conftest import SF
 
@@ -156,3 +156,15 @@ def test_current_rows_sort_by_their_identity_alone(shuffled):
     assert len(sorts) == 2
     for order in sorts:
         assert len(re.findall(r"(?:ASC|DESC) NULLS", order)) == 4
+
+
+def test_unchanged_rows_move_as_key_and_digest(spark):
+    """Whole rows of a snapshot are shuffled in neither phase while few keys changed."""
+    old = spark.read.parquet(f"{SF}/orders.parquet")
+    new = old.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 1000 == 0, 0.0).otherwise(F.col("o_totalprice")))
+    first = plan(changes.changed_keys(old, new, ["o_orderkey"]))
+    moved = re.findall(r"\(\d+\) Exchange.*?Input \[\d+\]: \[([^\]]*)\]", first, re.S)
+    assert moved and all("o_orderstatus" not in m and "o_totalprice" not in m for m in moved)
+    feed = changes.snapshot_changes(old, new, ["o_orderkey"])
+    assert nodes(plan(feed), "BroadcastHashJoin") >= 2
+    assert feed.count() > 0

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators import layout
+from lakestrata.operators import changes, layout
 from lakestrata.operators.changes import snapshot_changes
 from lakestrata.session import new_scratch
 from lakestrata.sources import fs, paths, settings, tables
@@ -65,6 +65,42 @@ def test_changes_between_snapshots(spark):
         snapshot_changes(old, new.drop("a"), ["k"])
 
 
+def test_changes_of_swapped_nulls(spark):
+    """Rows that a plain hash takes for equal, and values that differ in form only."""
+    schema = "k long, a long, b long, l array<long>, s struct<x: long, y: long>, d double"
+    old = [(1, None, 1, None, None, 0.0), (2, 1, 1, [None, 1], None, 0.0), (3, 1, 1, [], (None, 1), 0.0), (4, 1, 1, [1], (1, 1), 0.0), (5, 1, 1, None, None, None)]
+    new = [(1, 1, None, None, None, 0.0), (2, 1, 1, [1, None], None, 0.0), (3, 1, 1, [], (1, None), 0.0), (4, 1, 1, [1], (1, 1), -0.0), (5, 1, 1, None, None, None)]
+    out = snapshot_changes(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), ["k"]).collect()
+    assert sorted((r["k"], r["change_type"]) for r in out) == [(k, t) for k in (1, 2, 3) for t in ("update_post", "update_pre")]
+
+
+@pytest.mark.parametrize("wrong", ["one half equal", "all differ"])
+def test_changes_when_digests_mislead(spark, monkeypatch, wrong):
+    """One half of a digest is enough to find a change, and a digest that differs is not taken for one."""
+    digest = changes.row_digest
+
+    def misled(schema, columns):
+        if wrong == "all differ":
+            return F.struct(F.rand().alias("a"), F.lit(0).alias("b"))
+        return F.struct(F.lit(0).cast("long").alias("a"), digest(schema, columns)["b"].alias("b"))
+
+    monkeypatch.setattr(changes, "row_digest", misled)
+    old = spark.range(500).select("id", (F.col("id") % 7).alias("v"))
+    new = spark.range(10, 510).select("id", F.when(F.col("id") % 100 == 50, -1).otherwise(F.col("id") % 7).alias("v"))
+    counts = {r["change_type"]: r["count"] for r in snapshot_changes(old, new, ["id"]).groupBy("change_type").count().collect()}
+    assert counts == {"delete": 10, "insert": 10, "update_pre": 5, "update_post": 5}
+
+
+def test_changes_of_empty_snapshots_and_clashing_names(spark):
+    schema = "_old long, `a.b` string, _digest long, _side long, _key_0 long, change_kind string"
+    none = spark.createDataFrame([], schema)
+    some = spark.createDataFrame([(1, "x", 2, 3, 4, "c"), (None, "y", 2, 3, 4, None)], schema)
+    assert snapshot_changes(none, none, ["_old"]).count() == 0
+    assert [r["change_type"] for r in snapshot_changes(none, some, ["_old"]).collect()] == ["insert"] * 2
+    gone = snapshot_changes(some, none, ["_old", "a.b"]).collect()
+    assert sorted((r["change_type"], r["a.b"], r["_key_0"]) for r in gone) == [("delete", "x", 4), ("delete", "y", 4)]
+
+
 def test_write_files_counts_and_overwrites(spark, tmp_path):
     path = f"{tmp_path}/t"
     assert tables.write_files(spark.range(100), path, files=3) == 100
