@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.operators.index import dense_index
-from lakestrata.session import new_scratch
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 NARRATORS = ("system",)
@@ -23,31 +22,18 @@ def _plain(text: Column) -> Column:
 
 
 def _in_parts(said: DataFrame, part_turns: int) -> DataFrame:
-    """``said`` with ``_part``: by turn number where that bounds every part, else by position.
+    """``said`` with ``_part``: a row's position in its conversation divided by ``part_turns``.
 
-    Positions of crowded conversations come from one global index, so neither a conversation nor
-    a tie has to fit a task. Only a text's lead and hash are sort keys, because sampled range bounds
-    reach the driver; ``_tie`` spreads rows that are equal throughout, over stored rows.
+    Positions come from one global index, so neither a conversation nor a tie has to fit a task. Only
+    a text's lead and hash are sort keys, because sampled range bounds reach the driver; ``_tie``
+    spreads rows that are equal throughout.
     """
-    spark = said.sparkSession
-    by_turn = said.withColumn("_part", F.floor(F.col("_turn") / part_turns))
-    full = by_turn.groupBy("_conv", "_part").count().filter(F.col("count") > part_turns)
-    found = full.select(F.col("_conv").alias("_crowded")).distinct()
-    # stored, so that Spark knows its size: mostly it is small and no text moves for it
-    path = new_scratch(spark, "crowded")
-    found.write.parquet(path)
-    crowded = spark.read.schema(found.schema).parquet(path)
-    path = new_scratch(spark, "turns")
-    both = lambda d, how: d.join(crowded, d["_conv"].eqNullSafe(crowded["_crowded"]), how)
-    both(said, "left_semi").write.parquet(path)
-    stored = spark.read.schema(said.schema).parquet(path)
     keys = {"_lead": F.substring("_text", 1, LEAD_CHARS), "_hash": F.xxhash64("_text"), "_tie": F.monotonically_increasing_id()}
-    placed = dense_index(stored.withColumns(keys), ["_conv", "_turn", "_name", *keys], "_place").drop(*keys)
+    placed = dense_index(said.withColumns(keys), ["_conv", "_turn", "_name", *keys], "_place").drop(*keys)
     first = placed.groupBy(F.col("_conv").alias("_of")).agg(F.min("_place").alias("_first"))
-    by_place = placed.join(first, placed["_conv"].eqNullSafe(first["_of"])).withColumn(
-        "_part", F.floor((F.col("_place") - F.col("_first")) / part_turns)
+    return placed.join(first, placed["_conv"].eqNullSafe(first["_of"])).select(
+        *said.columns, F.floor((F.col("_place") - F.col("_first")) / part_turns).alias("_part")
     )
-    return both(by_turn, "left_anti").unionByName(by_place.select(*by_turn.columns))
 
 
 def rotate_perspectives(
@@ -63,14 +49,12 @@ def rotate_perspectives(
 
     Every participant is once the speaker; the others are users under their own names, narrators
     stay narrators and never speak. ``mask`` lists the [start, end) code points to learn from: the
-    speaker's text and its end mark. A part holds the turns whose number divided by ``part_turns``
-    agrees. Where that would put more than ``part_turns`` turns into one part (ties, repeated rows,
-    NULL turns), the whole conversation is cut by position instead, part 0 first. So a long dialogue
-    is several rows of at most ``part_turns`` turns; joined in order of part they are the whole. Turns
-    sort by (turn, role, text): ties have one order, repeated rows stay; only between parts cut by
-    position, ties that also agree in role and the text's first ``LEAD_CHARS`` characters go by the
-    text's hash. A NULL or blank role is a participant called ``unknown``, a NULL text is empty, NULL
-    turns come first (as part NULL unless cut by position), NULL conversations are one conversation.
+    speaker's text and its end mark. Turns sort by (turn, role, text), NULL turns first: ties have one
+    order, repeated rows stay. A part holds ``part_turns`` turns by position in that order, the last
+    one what is left, so a long dialogue is several rows; joined in order of part they are the whole.
+    Only between parts, ties that also agree in role and the text's first ``LEAD_CHARS`` characters go
+    by the text's hash. A NULL or blank role is a participant called ``unknown``, a NULL text is empty,
+    NULL conversations are one conversation.
     A conversation of narrators alone has no participant and no row.
     """
     name = F.coalesce(F.nullif(F.trim(F.regexp_replace(_plain(F.col(role)), r"[\r\n]+", " ")), F.lit("")), F.lit(NAMELESS))

@@ -78,14 +78,14 @@ def chat_sql() -> str:
     name = f"coalesce(nullif(trim(regexp_replace({plain.format('role')}, '[\\r\\n]+', ' ', 'g')), ''), '{chat.NAMELESS}')"
     narrators = ", ".join(map(_quoted, chat.NARRATORS))
     return f"""
-WITH said AS (
-  SELECT conv_id, turn, CAST(floor(turn / CAST({chat.PART_TURNS} AS DOUBLE)) AS BIGINT) AS part, {name} AS name,
-    {plain.format("coalesce(text, '')")} AS text FROM conversations),
+WITH given AS (SELECT conv_id, turn, {name} AS name, {plain.format("coalesce(text, '')")} AS text FROM conversations),
+said AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name, text) - 1) // {chat.PART_TURNS} AS part FROM given),
 speakers AS (SELECT DISTINCT conv_id, name AS speaker FROM said WHERE name NOT IN ({narrators})),
 cut AS (
   SELECT s.*, speaker, '{chat.CLOSE}' AS close, '{chat.OPEN}' || CASE WHEN name = speaker THEN 'assistant'
     WHEN name IN ({narrators}) THEN name ELSE 'user name=' || name END || chr(10) AS head,
-    row_number() OVER (PARTITION BY s.conv_id, part, speaker ORDER BY turn, name, text) AS place
+    row_number() OVER (PARTITION BY s.conv_id, part, speaker ORDER BY turn NULLS FIRST, name, text) AS place
   FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head || text || close) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY place
