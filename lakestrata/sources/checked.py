@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.operators.quality import drop_unmet, fail_unmet, observe_rules, observed_counts, observed_report
 from lakestrata.sources import fs
-from lakestrata.sources.tables import drop_versions, next_version, published, show, stage
+from lakestrata.sources.tables import drop_versions, next_version, publish, show, stage
 
 RULES_FILE = "_rules.json"
 
@@ -45,16 +45,12 @@ def publish_checked(df: DataFrame, root: str, folder: str, rules: Mapping[str, s
     The counts lie in the folder before it is shown, so a folder that is there has them, and a
     repeated unit neither loses nor doubles any.
     """
-    spark = df.sparkSession
-    if published(spark, root, folder):
-        return
-    if not rules:
-        stage(df, root, folder)
-    else:
-        watched, observation = observe_rules(df, rules)
+    def write(rows: DataFrame, root: str, folder: str) -> None:
+        watched, observation = observe_rules(rows, rules)
         stage(watched, root, folder)
-        fs.write_text(spark, f"{root}/_staging/{folder}/{RULES_FILE}", json.dumps(observed_counts(observation, rules)))
-    show(spark, root, folder)
+        fs.write_text(rows.sparkSession, f"{root}/_staging/{folder}/{RULES_FILE}", json.dumps(observed_counts(observation, rules)))
+
+    publish(df, root, folder, write if rules else stage)
 
 
 def rule_counts(spark: SparkSession, root: str, folders: list[str]) -> dict[str, list[int]]:

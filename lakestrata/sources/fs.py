@@ -23,6 +23,19 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(jpath))
 
 
+def list_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Every file below ``path``, at any depth, by its path from there, with its bytes."""
+    system, jpath = _open(spark, path)
+    if not system.exists(jpath):
+        return {}
+    base, found = system.makeQualified(jpath).toUri().getPath(), {}
+    files = system.listFiles(jpath, True)
+    while files.hasNext():
+        status = files.next()
+        found[status.getPath().toUri().getPath()[len(base):].lstrip("/")] = status.getLen()
+    return found
+
+
 def size(spark: SparkSession, path: str) -> int:
     system, jpath = _open(spark, path)
     return system.getContentSummary(jpath).getLength()

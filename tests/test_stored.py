@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import changes, layout
 from lakestrata.operators.changes import snapshot_changes
 from lakestrata.session import new_scratch
-from lakestrata.sources import fs, paths, settings, tables
+from lakestrata.sources import fs, ingest, paths, settings, tables
 from tests.conftest import SF
 
 
@@ -217,3 +217,91 @@ def test_half_filled_folders_are_written_again(spark, tmp_path):
     assert tables.current_version(spark, root).count() == 5
     tables.publish(spark.range(9), root, "version=0")  # whole: left alone
     assert tables.current_version(spark, root).count() == 5
+
+
+def cut_short(monkeypatch, name, times=1):
+    """Make the file helper ``name`` fail on its next ``times`` calls that concern a marker or data file."""
+    kept, left = getattr(fs, name), [times]
+
+    def fail(spark, path, *rest):
+        if left[0] and "_notes" not in path:
+            left[0] -= 1
+            raise OSError("cut short")
+        return kept(spark, path, *rest)
+
+    monkeypatch.setattr(fs, name, fail)
+
+
+@pytest.mark.parametrize("lost", ["marker", "some files"])
+def test_a_publish_cut_short_goes_on_with_the_same_files(spark, tmp_path, monkeypatch, lost):
+    """A stream that saw the folder before it was whole neither doubles nor loses rows."""
+    root, reads = f"{tmp_path}/t", []
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        cut_short(patch, "write_text")
+        tables.publish(spark.range(100).repartition(4), root, "batch=0")
+    if lost == "some files":  # as if the rename of the folder had stopped half way, one file copied and not yet deleted
+        names = [n for n in fs.list_names(spark, f"{root}/batch=0") if n.endswith(".parquet")]
+        for name in names[:2]:
+            fs.rename(spark, f"{root}/batch=0/{name}", f"{root}/_staging/batch=0/{name}")
+        stored = open(f"{root}/batch=0/{names[3]}", "rb").read()
+        open(f"{root}/_staging/batch=0/{names[3]}", "wb").write(stored)
+
+    def read():
+        stream = spark.readStream.schema("id long").parquet(root)
+        ingest.run_available(stream, f"{tmp_path}/checkpoint", lambda batch, n: reads.extend(r["id"] for r in batch.collect()))
+
+    read()
+    assert tables.numbered(spark, root, "batch") == []
+    tables.publish(spark.range(100).repartition(3), root, "batch=0")
+    read()
+    assert tables.numbered(spark, root, "batch") == [0] and sorted(reads) == list(range(100))
+    assert fs.list_names(spark, f"{root}/_staging/_notes") == []
+    assert fs.list_names(spark, f"{root}/_staging") == ["_notes"]
+
+
+def test_a_note_without_its_files_is_not_trusted(spark, tmp_path):
+    root = str(tmp_path)
+    tables.publish(spark.range(3), root, "batch=0")
+    fs.delete(spark, f"{root}/batch=0")
+    fs.write_text(spark, f"{root}/_staging/_notes/batch=0.json", '["gone.parquet"]')
+    tables.publish(spark.range(4), root, "batch=0")
+    assert spark.read.parquet(f"{root}/batch=0").count() == 4
+
+
+@pytest.fixture
+def swapped(spark):
+    yield "spark_catalog.default.swapped"
+    spark.sql("DROP TABLE IF EXISTS spark_catalog.default.swapped")
+
+
+def test_refresh_table_swaps_whole_versions(spark, tmp_path, swapped):
+    root = f"{tmp_path}/it's a table"
+    tables.refresh_table(spark.range(3), swapped, root)
+    assert spark.table(swapped).count() == 3
+    # a reader that began before the refresh; the new content may come from the old
+    early = spark.table(swapped)
+    tables.refresh_table(spark.table(swapped).filter("id > 0"), swapped, root)
+    assert sorted(r["id"] for r in spark.table(swapped).collect()) == [1, 2]
+    broken = spark.range(4).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.refresh_table(broken, swapped, root)
+    assert sorted(r["id"] for r in spark.table(swapped).collect()) == [1, 2]
+    assert early.columns == ["id"] and tables.numbered(spark, root, "version") == [0, 1]
+
+
+def test_refresh_table_with_other_columns(spark, tmp_path, swapped):
+    root = str(tmp_path)
+    tables.refresh_table(spark.range(3), swapped, root)
+    tables.refresh_table(spark.range(3).withColumn("odd `name`", F.lit("x")), swapped, root)
+    assert spark.table(swapped).columns == ["id", "odd `name`"] and spark.table(swapped).count() == 3
+    tables.refresh_table(spark.range(2).select(F.col("id").cast("string").alias("id")), swapped, root)
+    assert spark.table(swapped).dtypes == [("id", "string")]
+    tables.refresh_table(spark.range(0).select(F.col("id").cast("string").alias("id")), swapped, root)
+    assert spark.table(swapped).count() == 0
+
+
+def test_refresh_table_leaves_managed_tables_alone(spark, tmp_path, swapped):
+    spark.range(2).write.format("parquet").saveAsTable(swapped)
+    with pytest.raises(ValueError, match="not EXTERNAL"):
+        tables.refresh_table(spark.range(3), swapped, str(tmp_path))
+    assert spark.table(swapped).count() == 2
