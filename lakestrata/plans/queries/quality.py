@@ -9,6 +9,7 @@ from lakestrata.operators import aggregate, changes, layout, quality
 from lakestrata.plans.queries.relational import COUNTED
 from lakestrata.plans.queries import Registered, table
 from lakestrata.session import new_scratch
+from lakestrata.sources import fs
 from lakestrata.sources.checked import checked_refresh
 from lakestrata.sources.tables import current_version, write_files
 
@@ -113,6 +114,37 @@ def k1_clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+CURVE = {"l_shipdate": "TIMESTAMP_NTZ'1997-06-15 00:00:00'", "l_partkey": "500", "l_suppkey": "40"}
+
+
+def k1_curve_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Per clustering column: the rows a filter finds, and whether it reads under a third of the files."""
+    source = f"{sf}/lineitem.parquet"
+    path = layout.recluster_curve(spark, source, new_scratch(spark, "k1c"), "curved", list(CURVE), fs.size(spark, source) // 128)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    spans = stored.groupBy("file").agg(*(F.struct(F.min(c).alias("least"), F.max(c).alias("most")).alias(c) for c in CURVE))
+    may_hold = {c: F.expr(f"{v} BETWEEN {c}.least AND {c}.most") for c, v in CURVE.items()}
+    shares = spans.agg(*((F.count_if(hold) * 3 < F.count(F.lit(1))).alias(c) for c, hold in may_hold.items())).first()
+    matches = stored.agg(*(F.count_if(F.expr(f"{c} = {v}")).alias(c) for c, v in CURVE.items()))
+    columns = F.array(*(F.struct(F.lit(c).alias("filtered"), F.col(c).alias("rows"), F.lit(shares[c]).alias("under_a_third")) for c in CURVE))
+    return matches.select(F.inline(columns))
+
+
+def k2_small_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One file near the target and 32 small ones: only the small ones are rewritten, and only once."""
+    folder = f"{new_scratch(spark, 'k2s')}/orders"
+    orders = table(spark, sf, "orders")
+    done = F.col("o_orderstatus") == "F"
+    write_files(orders.filter(done), folder, files=1)
+    target = sum(fs.list_files(spark, folder).values())
+    orders.filter(~done | done.isNull()).repartition(32).write.mode("append").parquet(folder)
+    first, second = (layout.compact_in_place(spark, folder, target) for _ in range(2))
+    return spark.read.parquet(folder).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.lit(first.kept).alias("kept"), F.lit(first.replaced).alias("replaced"), F.lit(second.replaced).alias("replaced_again"),
+    )
+
+
 def k2_compaction(spark: SparkSession, sf: str) -> DataFrame:
     root = new_scratch(spark, "k2")
     write_files(table(spark, sf, "orders"), f"{root}/small", files=32)
@@ -179,6 +211,10 @@ QUERIES: Registered = {
         true AS several_files, true AS clustered FROM lineitem GROUP BY l_returnflag"""),
     "k2_compaction": (k2_compaction, """SELECT o_orderstatus, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
         true AS fewer_files FROM orders GROUP BY o_orderstatus"""),
+    "k1_curve_layout": (k1_curve_layout, " UNION ALL ".join(
+        f"SELECT '{c}' AS filtered, count(*) FILTER ({c} = {v.replace('TIMESTAMP_NTZ', 'TIMESTAMP')}) AS rows, true AS under_a_third FROM lineitem" for c, v in CURVE.items())),
+    "k2_small_files": (k2_small_files, """SELECT o_orderstatus, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+        1 AS kept, 32 AS replaced, 0 AS replaced_again FROM orders GROUP BY o_orderstatus"""),
     "k3_change_feed": (k3_change_feed, """SELECT 'delete' AS change_type, * FROM customer WHERE c_acctbal < 0
         UNION ALL SELECT 'update_pre', * FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
         UNION ALL SELECT 'update_post', c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment FROM customer

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,6 +153,20 @@ def a9_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return tables.current_version(spark, root)
 
 
+def a9_catalog_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table, refreshed from itself under its name, then by a job that fails."""
+    root, name = new_scratch(spark, "a9c"), _name(spark, "refreshed")
+    tables.refresh_table(table(spark, sf, "customer"), name, root)
+    tables.refresh_table(spark.table(name).filter("c_acctbal >= 0").withColumn("times", F.lit(2)), name, root)
+    try:
+        tables.refresh_table(spark.table(name).withColumn("times", F.raise_error(F.lit("cut short")).cast("int")), name, root)
+    except PySparkException:
+        pass
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def a10_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     landing = Landing.new(spark, "a10")
     landing.drop(table(spark, sf, "events"))
@@ -235,6 +250,7 @@ QUERIES: Registered = {
     "a7_sql_over_files": (a7_sql_over_files, "SELECT l_returnflag, l_linestatus, count(*) AS rows FROM lineitem GROUP BY l_returnflag, l_linestatus"),
     "a8_append_sink": (a8_append_sink, _EVENTS),
     "a9_full_refresh": (a9_full_refresh, "SELECT * FROM customer WHERE c_acctbal >= 0"),
+    "a9_catalog_refresh": (a9_catalog_refresh, "SELECT *, 2 AS times FROM customer WHERE c_acctbal >= 0"),
     "a10_exactly_once": (a10_exactly_once, """SELECT count(*) AS rows_first_run, count(*) AS rows_second_run,
         count(DISTINCT event_id) AS distinct_events FROM events"""),
     "a11_overwrite_files": (a11_overwrite_files, "SELECT *, CAST(4 AS BIGINT) AS files FROM orders"),

@@ -33,6 +33,92 @@ def test_recluster_separates_ranges(spark, tmp_path):
     assert all(left["b"] <= right["a"] for left, right in zip(spans, spans[1:]))
 
 
+def ranges(spark, path, column):
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).agg(F.min(column).alias("a"), F.max(column).alias("b")).collect()
+
+
+def test_curve_lets_every_column_skip_files(spark, tmp_path):
+    by = ["l_shipdate", "l_partkey", "l_comment_like"]
+    source = f"{tmp_path}/in"
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    # a skewed number, and a text whose first characters say nothing
+    lines.withColumn("l_comment_like", F.concat(F.lit("Customer#000"), F.format_string("%06d", F.col("l_suppkey") * 7 + F.col("l_orderkey") % 7))).repartition(4).write.parquet(source)
+    out = layout.recluster_curve(spark, source, str(tmp_path), "out", by, target_bytes=fs.size(spark, source) // 96)
+    stored = spark.read.parquet(out)
+    assert stored.columns == spark.read.parquet(source).columns
+    assert stored.exceptAll(spark.read.parquet(source)).isEmpty() and stored.count() == lines.count()
+    for column in by:
+        spans, wanted = ranges(spark, out, column), spark.read.parquet(source).select(column).orderBy(F.rand(1)).limit(9).collect()
+        read = [sum(s["a"] <= w[0] <= s["b"] for s in spans) for w in wanted]
+        assert sum(read) / len(read) < len(spans) * 0.4, (column, read, len(spans))
+
+
+def test_curve_of_nulls_ties_and_nothing(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    rows = spark.range(2_000).select(F.when(F.col("id") % 3 > 0, F.lit(5)).alias("k"), F.lit(None).cast("string").alias("t"), F.lit(True).alias("b"))
+    rows.write.parquet(source)
+    out = layout.recluster_curve(spark, source, str(tmp_path), "out", ["k", "t", "b"], target_bytes=fs.size(spark, source) // 4)
+    assert spark.read.parquet(out).count() == 2_000
+    assert len({(s["a"], s["b"]) for s in ranges(spark, out, "k")}) >= 2
+    rows.limit(0).write.parquet(f"{tmp_path}/none")
+    assert spark.read.parquet(layout.recluster_curve(spark, f"{tmp_path}/none", str(tmp_path), "no", ["k"])).count() == 0
+    with pytest.raises(ValueError, match="no order"):
+        layout.with_curve(spark.range(1).select(F.array("id").alias("a")), ["a"], "_curve")
+
+
+@pytest.mark.parametrize("axes,bits", [(1, 5), (2, 4), (3, 3)])
+def test_curve_visits_neighbours(spark, axes, bits):
+    """Every cell once, and each step moves along one axis by one: that is what makes it Hilbert's."""
+    names = [f"x{i}" for i in range(axes)]
+    cells = spark.range(2 ** (bits * axes)).select("id", *(F.shiftright("id", bits * i).bitwiseAND(F.lit(2**bits - 1)).alias(n) for i, n in enumerate(names)))
+    kept = cells.select("*", *(F.col(n).alias(f"cell_{n}") for n in names))
+    turned = layout._along_hilbert(kept, names, bits).collect()
+    place = lambda row: [row[n] >> bit & 1 for bit in reversed(range(bits)) for n in names]
+    walk = [[row[f"cell_{n}"] for n in names] for row in sorted(turned, key=place)]
+    assert len({tuple(place(row)) for row in turned}) == len(walk)
+    assert all(sum(abs(a - b) for a, b in zip(one, two)) == 1 for one, two in zip(walk, walk[1:]))
+
+
+def test_ranks_follow_values(spark):
+    rows = spark.range(4_096).select((F.col("id") * F.col("id")).alias("v"))
+    found = layout.with_curve(rows, ["v"], "at").orderBy("v").collect()
+    at = [r["at"] for r in found]
+    assert at == sorted(at) and set(at) == set(range(256)) and max(map(at.count, set(at))) <= 20
+
+
+def test_compact_in_place_leaves_large_files_alone(spark, tmp_path):
+    folder = f"{tmp_path}/a b"
+    spark.range(50_000).coalesce(1).write.parquet(folder)
+    ((large, size),) = [(n, b) for n, b in fs.list_files(spark, folder).items() if n.endswith(".parquet")]
+    spark.range(50_000, 60_000).repartition(30).write.mode("append").parquet(folder)
+    first = layout.compact_in_place(spark, folder, target_bytes=size)
+    assert first.kept == 1 and first.replaced == 30 and 1 <= first.written <= 3
+    assert large in fs.list_names(spark, folder)
+    assert sorted(r["id"] for r in spark.read.parquet(folder).collect()) == list(range(60_000))
+    assert layout.compact_in_place(spark, folder, target_bytes=size) == layout.Compaction(1 + first.written, 0, 0)
+
+
+def test_compact_in_place_keeps_folder_keys_and_finishes_what_was_cut_short(spark, tmp_path, monkeypatch):
+    folder = f"{tmp_path}/t"
+    rows = spark.range(900).withColumn("day", F.col("id") % 3).withColumn("v", F.when(F.col("id") > 500, F.col("id")))
+    rows.repartition(5).write.partitionBy("day").parquet(folder)
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        cut_short(patch, "rename")
+        layout.compact_in_place(spark, folder)
+    found = layout.compact_in_place(spark, folder)
+    assert found == layout.Compaction(3, 0, 0)  # the plan was carried out first
+    stored = spark.read.parquet(folder)
+    assert sorted(map(tuple, stored.select("id", "day", "v").collect())) == sorted(map(tuple, rows.collect()))
+    assert all(len(parquet_files(spark, f"{folder}/day={d}")) == 1 for d in range(3))
+
+
+def test_bins():
+    sizes = {"a": 5, "b": 4, "c": 3, "d": 3, "e": 2, "big": 30, "z": 0}
+    found = layout.bins_of(sizes, 10)
+    assert sorted(n for b in found for n in b) == sorted(sizes)
+    assert all(sum(sizes[n] for n in b) <= 10 or b == ["big"] for b in found) and len(found) == 3
+
+
 def test_compact_makes_few_files_without_a_shuffle(spark, tmp_path):
     source = f"{tmp_path}/in"
     spark.range(10_000).repartition(40).write.parquet(source)
