@@ -199,7 +199,7 @@ def compact_in_place(spark: SparkSession, folder: str, target_bytes: int = TARGE
     if target_bytes < 1 or not 0 < small <= 1:
         raise ValueError("target_bytes must be at least 1 and small above 0, at most 1")
     _carry_out(spark, folder)
-    sizes = {n: b for n, b in fs.list_files(spark, folder).items() if n.endswith(".parquet") and not _hidden(n)}
+    sizes = {n: b for n, b in fs.list_files(spark, folder).items() if n.endswith(".parquet") and not fs.hidden(n)}
     by_place: dict[str, dict[str, int]] = {}
     for name, size in sizes.items():
         if size < small * target_bytes:
@@ -225,10 +225,6 @@ _HOST = "^[^:/]+:(//[^/]*)?"
 _PLAN = "_staging/_compaction.json"
 
 
-def _hidden(name: str) -> bool:
-    return any(part[0] in "._" and "=" not in part for part in name.split("/"))
-
-
 def bins_of(sizes: dict[str, int], capacity: int) -> list[list[str]]:
     """The names in bins of at most ``capacity``: largest first, each into the fullest bin it fits.
 

@@ -38,7 +38,8 @@ class BankTables:
 
     ``landing`` maps customers, balances and transactions to their folders. ``buckets`` is
     the number of parts of the customer state; choose it once, for the customers to come. A
-    micro-batch takes at most ``max_files`` files of a source.
+    micro-batch takes at most ``max_files`` files of a source. With ``archive`` landed files are moved
+    there once they are taken; choose it from the first update on.
     """
 
     spark: SparkSession
@@ -48,6 +49,7 @@ class BankTables:
     max_files: int = 1_000
     type_codes: str = bank.TYPE_CODES
     scale: int | None = None
+    archive: str | None = None
     names: Mapping[str, Mapping[str, str]] = field(
         default_factory=lambda: {
             CUSTOMERS: bank.CUSTOMER_NAMES,
@@ -93,10 +95,11 @@ class BankTables:
 
     def _take_in(self, source: str) -> None:
         folder = f"{self.root}/bronze/{source}"
-        ingest.ingest_files(
-            self.spark, self.landing[source], f"{folder}/table", f"{folder}/checkpoint", f"{folder}/schema",
-            lead=LEAD[source], sort_by=LEAD[source],
-        )
+        lay = {"lead": LEAD[source], "sort_by": LEAD[source]}
+        if self.archive:
+            ingest.ingest_and_archive(self.spark, self.landing[source], f"{folder}/table", f"{self.archive}/{source}", f"{folder}/schema", **lay)
+        else:
+            ingest.ingest_files(self.spark, self.landing[source], f"{folder}/table", f"{folder}/checkpoint", f"{folder}/schema", **lay)
 
     def _update_customers(self) -> None:
         own = stateful_session(self.spark, self.buckets)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators.aggregate import row_count
 from lakestrata.plans.queries import Registered, table
 from lakestrata.session import new_scratch
-from lakestrata.sources import ingest, settings, tables
+from lakestrata.sources import fs, ingest, settings, tables
 from lakestrata.streaming.append import append_refresh, read_appended
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -75,6 +75,17 @@ def a1_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read().select(*EVENT_COLUMNS)
 
 
+def a1_archived_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same three deliveries; each leaves the landing folder once it is taken."""
+    landing = Landing.new(spark, "a1a")
+    for delivery in deliveries(spark, sf):
+        landing.drop(delivery)
+        for _ in range(2):
+            ingest.ingest_and_archive(spark, landing.source, f"{landing.root}/table", f"{landing.root}/archive", f"{landing.root}/schema")
+    left = sum(n.endswith(".parquet") for n in fs.list_files(spark, landing.source))
+    return landing.read().select(*EVENT_COLUMNS, F.lit(left).cast("long").alias("files_left"))
+
+
 def a2_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     """``props`` appears with the second delivery, ``value`` vanishes with the third."""
     landing = Landing.new(spark, "a2")
@@ -237,6 +248,7 @@ _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 _SETTINGS = "SELECT 'segment.' || c_mktsegment AS key, CAST(count(*) AS VARCHAR) AS value FROM customer GROUP BY c_mktsegment"
 QUERIES: Registered = {
     "a1_incremental_ingest": (a1_incremental_ingest, _EVENTS),
+    "a1_archived_ingest": (a1_archived_ingest, "SELECT event_id, ts, user_id, event_type, value, props, CAST(0 AS BIGINT) AS files_left FROM events"),
     "a2_schema_evolution": (a2_schema_evolution, f"""SELECT event_id, ts, user_id, event_type,
         CASE WHEN ts < TIMESTAMP '{THIRD}' THEN value END AS value,
         CASE WHEN ts >= TIMESTAMP '{SECOND}' THEN props END AS props FROM events"""),

@@ -31,6 +31,11 @@ def raw_path(spark: SparkSession, path: str) -> str:
 
 def list_files(spark: SparkSession, path: str) -> dict[str, int]:
     """Every file below ``path``, at any depth, by its path from there, with its bytes."""
+    return {name: size for name, (size, _) in stamps(spark, path).items()}
+
+
+def stamps(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """As ``list_files``, with the bytes and the time of the last change of each file."""
     system, jpath = _open(spark, path)
     if not system.exists(jpath):
         return {}
@@ -38,10 +43,16 @@ def list_files(spark: SparkSession, path: str) -> dict[str, int]:
     files = system.listFiles(jpath, True)
     while files.hasNext():
         status = files.next()
-        found[status.getPath().toUri().getPath()[len(base):].lstrip("/")] = status.getLen()
+        name = status.getPath().toUri().getPath()[len(base):].lstrip("/")
+        found[name] = (status.getLen(), status.getModificationTime())
     return found
 
 
+def hidden(name: str) -> bool:
+    """Whether Spark's readers skip the file: a part of its path starts with a dot or underscore."""
+    return any(part[0] in "._" and "=" not in part for part in name.split("/"))
+
+
 def size(spark: SparkSession, path: str) -> int:
     system, jpath = _open(spark, path)
     return system.getContentSummary(jpath).getLength()

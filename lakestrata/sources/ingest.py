@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lakestrata.operators.project import lead_columns
 from lakestrata.sources import fs
-from lakestrata.sources.tables import numbered, publish, published
+from lakestrata.sources.tables import numbered, publish, published, resume
 
 BATCH = "ingest_batch"
 INGEST_TS = "ingest_ts"
@@ -78,17 +78,73 @@ def ingest_files(
         paths = sorted(row["path"] for row in batch.collect())
         if not paths:
             return
-        rows = _read_batch(session, source, paths, schema_store, number)
-        rows = rows.withColumn(INGEST_TS, F.current_timestamp())
-        if lead:
-            rows = lead_columns(rows, lead)
-        if sort_by:
-            rows = rows.sortWithinPartitions(*sort_by)
-        publish(rows, target, f"{BATCH}={number}")
+        _take(session, source, paths, target, schema_store, number, lead, sort_by)
 
     run_available(names, checkpoint, take)
 
 
+def ingest_and_archive(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    archive: str,
+    schema_store: str,
+    lead: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    max_files: int = 10_000,
+) -> None:
+    """As ``ingest_files``, for landing folders that would grow for ever: files leave once they are taken.
+
+    A batch's files are listed in ``target/_taken`` before they are read and moved to
+    ``archive/ingest_batch=n`` after it is published, so neither the listing nor what must be
+    remembered grows with the files ever taken: there is no checkpoint. A name that is delivered
+    again is a new file. A run that is cut short is finished by the next one, which takes each file
+    once: a batch that was not yet shown is taken anew from what lies in ``source`` then. Only one run
+    at a time may feed a target, always by the same function; files must arrive whole
+    (under a name with a leading dot or underscore they are not seen).
+    """
+    if max_files < 1:
+        raise ValueError("max_files must be at least 1")
+    taken = f"{target}/_taken"
+    for name in fs.list_names(spark, taken):
+        number = int(name.removesuffix(".json"))
+        if resume(spark, target, f"{BATCH}={number}"):
+            _archive(spark, source, archive, taken, number)
+        else:
+            fs.delete(spark, f"{taken}/{name}")
+    number = max(numbered(spark, target, BATCH), default=-1) + 1
+    found = {n: s for n, s in fs.stamps(spark, source).items() if n.endswith(".parquet") and not fs.hidden(n)}
+    names = sorted(found)
+    for start in range(0, len(names), max_files):
+        batch = names[start : start + max_files]
+        fs.write_text(spark, f"{taken}/{number}.json", json.dumps({n: found[n] for n in batch}))
+        _take(spark, source, [f"{source}/{n}" for n in batch], target, schema_store, number, lead, sort_by)
+        _archive(spark, source, archive, taken, number)
+        number += 1
+
+
+def _archive(spark: SparkSession, source: str, archive: str, taken: str, number: int) -> None:
+    """Move a batch's files away, but none that came under one of their names since; then forget the batch."""
+    listed = json.loads(fs.read_text(spark, f"{taken}/{number}.json"))
+    there = fs.stamps(spark, source)
+    names = [n for n, stamp in listed.items() if there.get(n) == tuple(stamp)]
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        list(pool.map(lambda n: fs.rename(spark, f"{source}/{n}", f"{archive}/{BATCH}={number}/{n}"), names))
+    fs.delete(spark, f"{taken}/{number}.json")
+
+
+def _take(
+    spark: SparkSession, source: str, paths: list[str], target: str, store: str, number: int, lead: Sequence[str], sort_by: Sequence[str]
+) -> None:
+    """Publish the rows of ``paths`` as batch ``number``."""
+    rows = _read_batch(spark, source, paths, store, number).withColumn(INGEST_TS, F.current_timestamp())
+    if lead:
+        rows = lead_columns(rows, lead)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*sort_by)
+    publish(rows, target, f"{BATCH}={number}")
+
+
 def require_checkpoint(spark: SparkSession, has_rows: bool, target: str, checkpoint: str) -> None:
     """A new checkpoint counts batches from 0 again, which a target with rows takes for done."""
     if has_rows and not fs.exists(spark, f"{checkpoint}/offsets"):

@@ -124,6 +124,13 @@ def publish(
     _move(spark, root, folder)
 
 
+def resume(spark: SparkSession, root: str, folder: str) -> bool:
+    """Finish a ``publish`` that was cut short while it moved its files; whether the folder is whole now."""
+    if not published(spark, root, folder) and _noted(spark, root, folder):
+        _move(spark, root, folder)
+    return published(spark, root, folder)
+
+
 def _note(root: str, folder: str) -> str:
     return f"{root}/_staging/_notes/{folder}.json"
 

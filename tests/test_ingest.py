@@ -219,3 +219,60 @@ def test_rows_keep_their_place_in_the_file(table):
     table.take()
     found = table.read("source_file", "source_row", "id")
     assert len(set(found)) == 10 and all(row == i for _, row, i in found)
+
+
+class Archived(Table):
+    def take(self, **options):
+        ingest.ingest_and_archive(self.spark, self.args[0], self.args[1], f"{self.root}/archive", self.args[3], **options)
+
+    def landed(self):
+        return [n for n in fs.list_files(self.spark, self.args[0]) if n.endswith(".parquet")]
+
+    def put(self, name, ids):
+        path = f"{self.args[0]}/{name}"
+        (self.spark.sparkContext._gateway.jvm.java.io.File(path)).getParentFile().mkdirs()
+        pq.write_table(pa.table({"id": pa.array(ids, pa.int64())}), path)
+
+
+@pytest.fixture
+def archived(spark, tmp_path):
+    return Archived(spark, tmp_path)
+
+
+def test_taken_files_leave_and_a_name_may_come_again(archived):
+    archived.put("day=1/a.parquet", [1])
+    archived.put("day=1/b.parquet", [2])
+    archived.put("_part/c.parquet", [99])  # not whole yet
+    archived.take(max_files=1)
+    assert archived.landed() == ["_part/c.parquet"]
+    archived.put("day=1/a.parquet", [3])
+    archived.take()
+    archived.take()
+    assert archived.read("id", "day", "ingest_batch") == [(1, 1, 0), (2, 1, 1), (3, 1, 2)]
+    kept = [n for n in fs.list_files(archived.spark, f"{archived.root}/archive") if not n.endswith(".crc")]
+    assert sorted(kept) == [f"ingest_batch={n}/day=1/{f}.parquet" for n, f in enumerate("aba")]
+    assert fs.list_names(archived.spark, f"{archived.args[1]}/_taken") == []
+
+
+@pytest.mark.parametrize("at", ["ingest", "archive"])
+def test_an_archiving_run_cut_short_takes_each_file_once(archived, monkeypatch, at):
+    archived.put("a.parquet", [1])
+    archived.put("b.parquet", [2])
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        kept = fs.rename
+
+        def fail(spark, old, new):
+            if (at == "archive") == new.endswith("archive/ingest_batch=0/b.parquet"):
+                raise OSError("cut short")
+            kept(spark, old, new)
+
+        patch.setattr(fs, "rename", fail)
+        archived.take()
+    # one name comes again with other content before the next run
+    if at == "archive":
+        archived.put("b.parquet", [3, 4, 5])
+    archived.put("c.parquet", [6])
+    archived.take()
+    archived.take()
+    assert [r[0] for r in archived.read("id")] == ([1, 2, 3, 4, 5, 6] if at == "archive" else [1, 2, 6])
+    assert archived.landed() == []
