@@ -7,12 +7,15 @@ import json
 import os.path
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.session import session_with
 from lakestrata.sources import fs
 from lakestrata.sources.tables import publish
 
@@ -191,7 +194,7 @@ def compact_in_place(spark: SparkSession, folder: str, target_bytes: int = TARGE
 
     Small files are dealt into bins of at most ``target_bytes``, largest first; a file alone in its
     bin stays too, so a second run finds nothing to do. Each folder of a ``key=value`` tree is packed by itself.
-    Only sizes and names are seen on the driver, one scan task merges one bin. New files are written
+    Only sizes and names are seen on the driver, one scan task merges one bin file by file. New files are written
     whole before a plan names them and what they replace; a run that is cut short after that is
     finished by the next one. Between the two a reader that starts could see rows twice, so let compaction
     and readers take turns, as with any change in place.
@@ -221,7 +224,8 @@ def compact_in_place(spark: SparkSession, folder: str, target_bytes: int = TARGE
     return Compaction(len(sizes) - len(replaced), len(replaced), len(moves))
 
 
-_HOST = "^[^:/]+:(//[^/]*)?"
+#: bins that one job merges, and folders of a tree that are merged side by side
+BINS_A_JOB, PLACES_AT_ONCE = 64, 8
 _PLAN = "_staging/_compaction.json"
 
 
@@ -246,19 +250,29 @@ def bins_of(sizes: dict[str, int], capacity: int) -> list[list[str]]:
 
 
 def _merge_bins(spark: SparkSession, folder: str, bins: list[tuple[int, list[str]]], staged: str) -> None:
-    """One file per bin, below ``_place=n`` for its place: every row goes to the task of its file's bin."""
-    dealt = [(fs.raw_path(spark, f"{folder}/{name}"), at, place) for at, (place, names) in enumerate(bins) for name in names]
-    known = spark.createDataFrame(dealt, "_file string, _bin int, _place int")
-    paths = [fs.escape_glob(f"{folder}/{name}") for _, names in bins for name in names]
-    rows = spark.read.option("mergeSchema", "true").parquet(*paths)
-    tagged = rows.select("*", F.regexp_replace("_metadata.file_path", _HOST, "").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    # no row is lost should a file be known by another name
-    at = F.coalesce("_bin", F.raise_error(F.concat(F.lit("no bin for "), F.col("_file"))).cast("int"))
-    placed = tagged.join(known, "_file", "left").withColumn("_bin", at)
-    # rows keep their order within a file, and so what clustering they have
-    packed = placed.repartitionById(len(bins), "_bin").sortWithinPartitions("_place", "_file", "_row")
-    kept = packed.select(*(F.col(f"`{n}`") for n in rows.columns), "_place")
-    kept.write.partitionBy("_place").mode("overwrite").parquet(staged)
+    """One file per bin, below ``_place=n`` for its place.
+
+    A task reads the files of its bin one after the other and writes as it reads: it holds no more of a
+    bin than a few row groups, whatever the target, and no row is shuffled or sorted. Rows keep their
+    order within a file, and so what clustering they have.
+    """
+    paths = {name: fs.escape_glob(f"{folder}/{name}") for _, names in bins for name in names}
+    schema = spark.read.option("mergeSchema", "true").parquet(*paths.values()).schema
+    # all files of a read are one scan task, and none is split
+    whole = {"files.maxPartitionBytes": str(1 << 60), "files.minPartitionNum": "1"}
+    read = session_with(spark, **whole).read.schema(schema)
+    by_place: dict[int, list[list[str]]] = {}
+    for place, names in bins:
+        by_place.setdefault(place, []).append(names)
+
+    def merge(place: int) -> None:
+        own = by_place[place]
+        for at in range(0, len(own), BINS_A_JOB):
+            parts = [read.parquet(*(paths[n] for n in names)) for names in own[at : at + BINS_A_JOB]]
+            reduce(DataFrame.union, parts).write.mode("append").parquet(f"{staged}/_place={place}")
+
+    with ThreadPoolExecutor(PLACES_AT_ONCE) as pool:
+        list(pool.map(merge, by_place))
 
 
 def _carry_out(spark: SparkSession, folder: str) -> None:

@@ -135,7 +135,7 @@ def k2_small_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = f"{new_scratch(spark, 'k2s')}/orders"
     orders = table(spark, sf, "orders")
     done = F.col("o_orderstatus") == "F"
-    write_files(orders.filter(done), folder, files=1)
+    orders.filter(done).repartition(1).write.parquet(folder)
     target = sum(fs.list_files(spark, folder).values())
     orders.filter(~done | done.isNull()).repartition(32).write.mode("append").parquet(folder)
     first, second = (layout.compact_in_place(spark, folder, target) for _ in range(2))

@@ -23,12 +23,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(jpath))
 
 
-def raw_path(spark: SparkSession, path: str) -> str:
-    """``path`` without scheme and host, escaped as in ``_metadata.file_path``."""
-    system, jpath = _open(spark, path)
-    return system.makeQualified(jpath).toUri().getRawPath()
-
-
 def list_files(spark: SparkSession, path: str) -> dict[str, int]:
     """Every file below ``path``, at any depth, by its path from there, with its bytes."""
     return {name: size for name, (size, _) in stamps(spark, path).items()}

@@ -112,6 +112,28 @@ def test_compact_in_place_keeps_folder_keys_and_finishes_what_was_cut_short(spar
     assert all(len(parquet_files(spark, f"{folder}/day={d}")) == 1 for d in range(3))
 
 
+def test_compact_in_place_shuffles_nothing(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    rows = spark.range(9_000).select("id", F.lit("own").alias("_file"), (F.col("id") % 7).alias("_bin"))
+    rows.repartitionByRange(9, "id").sortWithinPartitions("id").write.parquet(folder)
+    jobs = spark.sparkContext.statusTracker()
+    before = set(jobs.getJobIdsForGroup(None))
+    assert layout.compact_in_place(spark, folder) == layout.Compaction(0, 9, 1)
+    assert all(len(jobs.getJobInfo(job).stageIds) == 1 for job in set(jobs.getJobIdsForGroup(None)) - before)
+    stored = spark.read.parquet(folder)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+    at = [r["id"] for r in stored.orderBy(F.col("_metadata.row_index")).collect()]
+    assert sum(b != a + 1 for a, b in zip(at, at[1:])) < 9  # each file's rows in their order
+
+
+def test_compact_in_place_makes_a_file_of_each_bin(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    spark.range(160_000).repartition(16).write.parquet(folder)
+    sizes = [b for n, b in fs.list_files(spark, folder).items() if n.endswith(".parquet")]
+    assert layout.compact_in_place(spark, folder, target_bytes=4 * max(sizes)) == layout.Compaction(0, 16, 4)
+    assert spark.read.parquet(folder).select("id").distinct().count() == 160_000
+
+
 def test_bins():
     sizes = {"a": 5, "b": 4, "c": 3, "d": 3, "e": 2, "big": 30, "z": 0}
     found = layout.bins_of(sizes, 10)
