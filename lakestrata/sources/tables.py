@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakestrata.session import new_scratch, session_with
 from lakestrata.sources import fs
 
 
 MARKER = "_published"
+FILE_BYTES = 128 * 1024 * 1024
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -34,12 +36,29 @@ def sql_over_files(spark: SparkSession, select: str, path: str, tail: str = "")
 def write_files(df: DataFrame, path: str, files: int | None = None) -> int:
     """Overwrite ``path`` and return the rows written, counted during the write.
 
-    ``files`` asks for that many files; the shuffle keeps the work before it parallel.
+    ``files`` asks for that many files, or for as many of about ``FILE_BYTES`` as it takes where those
+    would be larger: one task makes one file, and what it takes in must not grow with the data. Sizes
+    are only known of written rows, so they go to the scratch folder first, which keeps the work before
+    parallel.
     """
-    if files is not None:
-        if files < 1:
-            raise ValueError("files must be at least 1")
-        df = df.repartition(files)
+    if files is None:
+        return _write_counted(df, path)
+    if files < 1:
+        raise ValueError("files must be at least 1")
+    spark = df.sparkSession
+    staged = new_scratch(spark, "rows")
+    rows = _write_counted(df, staged)
+    if fs.size(spark, staged) <= files * FILE_BYTES:
+        dealt = spark.read.schema(df.schema).parquet(staged).repartition(files)
+    else:
+        cut = {"files.maxPartitionBytes": str(FILE_BYTES), "files.openCostInBytes": "0", "files.minPartitionNum": "1"}
+        dealt = session_with(spark, **cut).read.schema(df.schema).parquet(staged)
+    dealt.write.mode("overwrite").parquet(path)
+    fs.delete(spark, staged)
+    return rows
+
+
+def _write_counted(df: DataFrame, path: str) -> int:
     written = Observation()
     df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return written.get["rows"]

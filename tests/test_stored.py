@@ -219,6 +219,17 @@ def test_write_files_counts_and_overwrites(spark, tmp_path):
         tables.write_files(spark.range(1), path, files=0)
 
 
+def test_write_files_makes_more_files_of_large_data(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    monkeypatch.setattr(tables, "FILE_BYTES", 100_000)
+    rows = spark.range(50_000).select("id", F.xxhash64("id").alias("v"))
+    assert tables.write_files(rows, path, files=2) == 50_000
+    found = [b for n, b in fs.list_files(spark, path).items() if n.endswith(".parquet")]
+    assert len(found) > 3 and max(found) < 2 * 100_000
+    assert spark.read.parquet(path).exceptAll(rows).isEmpty()
+    assert tables.write_files(spark.range(0), path, files=2) == 0
+
+
 def test_full_refresh_keeps_what_readers_may_hold(spark, tmp_path):
     root = f"{tmp_path}/v"
     with pytest.raises(FileNotFoundError):
