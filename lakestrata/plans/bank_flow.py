@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -82,12 +82,24 @@ class BankTables:
     def update(self) -> None:
         """Take in new files and bring every table up to date; independent steps run side by side.
 
+        A table is derived as soon as its own sources are taken in, whatever the others still do.
         The expectations of what the run processed are counted while it is written, and logged with
         it: a run that was cut short is made up for by the next one.
         """
         with ThreadPoolExecutor() as pool:
-            list(pool.map(self._take_in, (CUSTOMERS, BALANCES, TRANSACTIONS)))
-            list(pool.map(lambda step: step(), (self._update_customers, self._update_transactions)))
+            taken = {source: pool.submit(self._take_in, source) for source in (CUSTOMERS, BALANCES, TRANSACTIONS)}
+
+            def derive(step: Callable[[], None], *sources: str) -> None:
+                for source in sources:
+                    taken[source].result()
+                step()
+
+            derived = [
+                pool.submit(derive, self._update_customers, CUSTOMERS, BALANCES),
+                pool.submit(derive, self._update_transactions, TRANSACTIONS),
+            ]
+        for done in (*taken.values(), *derived):
+            done.result()
         tables.full_refresh(bank.customer_profile(self.customers(), self.activity()), f"{self.root}/gold/profile")
         self._log_expectations()
         for source, names in self.skipped().items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,8 +135,9 @@ def two_day_tables(spark: SparkSession, sf: str) -> BankTables:
     ]
     for number, (customers, redelivered, transacted) in enumerate(days, 1):
         newest = balance_rows(latest_orders(redelivered)).drop("ingest_ts", "source_time", "source_file", "source_row")
-        for name, rows in (("customers", customers), ("balances", newest), ("transactions", transacted)):
-            rows.write.parquet(f"{folders[name]}/año=2026/mes=1/dia={number}")
+        landed = {"customers": customers, "balances": newest, "transactions": transacted}
+        with ThreadPoolExecutor(len(landed)) as pool:
+            list(pool.map(lambda name: landed[name].write.parquet(f"{folders[name]}/año=2026/mes=1/dia={number}"), landed))
         kept.update()
     return kept
 

@@ -1,8 +1,10 @@
 """The bank tables after two days of files."""
 
+import threading
+
 import pytest
 
-from lakestrata.plans import bank
+from lakestrata.plans import bank, bank_flow
 from lakestrata.plans.bank_flow import BankTables
 from lakestrata.plans.queries import bank as queries
 from lakestrata.session import new_scratch
@@ -123,3 +125,28 @@ def test_tidy_keeps_the_tables(kept):
     before = rowset(kept.customers())
     kept.tidy()
     assert rowset(kept.customers()) == before
+
+
+def test_tables_are_derived_as_soon_as_their_own_sources_are_in(monkeypatch):
+    derived, waited, failing = threading.Event(), [], []
+
+    def take_in(self, source):
+        if source == bank_flow.TRANSACTIONS:
+            waited.append(derived.wait(10))
+        if source in failing:
+            raise OSError(source)
+
+    monkeypatch.setattr(BankTables, "_take_in", take_in)
+    monkeypatch.setattr(BankTables, "_update_customers", lambda self: derived.set())
+    monkeypatch.setattr(BankTables, "_update_transactions", lambda self: waited.append("derived"))
+    for name in ("customers", "activity", "_log_expectations"):
+        monkeypatch.setattr(BankTables, name, lambda self: None)
+    monkeypatch.setattr(BankTables, "skipped", lambda self: {})
+    monkeypatch.setattr(bank_flow.bank, "customer_profile", lambda *views: None)
+    monkeypatch.setattr(bank_flow.tables, "full_refresh", lambda df, root: waited.append("profile"))
+    BankTables(None, {}, "nowhere").update()
+    assert waited == [True, "derived", "profile"]
+    failing.append(bank_flow.TRANSACTIONS)
+    with pytest.raises(OSError):
+        BankTables(None, {}, "nowhere").update()
+    assert waited == [True, "derived", "profile", True]  # nothing follows from a source that failed
