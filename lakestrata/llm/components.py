@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lakestrata.session import new_scratch
 
+#: edges a file of a step holds; a tiny file for every shuffle partition costs more than its edges
+FILE_EDGES = 10_000
 CHANGED = ("count(1)", "coalesce(sum(cast(xxhash64(node, other) as decimal(38,0))), 0)")
 
 
@@ -30,20 +32,22 @@ def components(edges: DataFrame, first: str, second: str) -> DataFrame:
         large = both.join(least, "node").filter("other > node and other > least").select(
             F.col("other").alias("node"), F.col("least").alias("other")
         )
-        now, _ = _store(large.distinct())
+        now, _ = _store(large.distinct(), said[0])
         least = now.groupBy("node").agg(F.min("other").alias("least"))
         small = now.join(least, "node").filter("other > least").select(F.col("other").alias("node"), F.col("least").alias("other"))
-        now, said = _store(small.unionByName(least.select("node", F.col("least").alias("other"))).distinct())
+        now, said = _store(small.unionByName(least.select("node", F.col("least").alias("other"))).distinct(), before[0])
         if said == before:
             break
     roots = now.select(F.col("other").alias("node"), F.col("other").alias("component")).distinct()
     return now.select("node", F.col("other").alias("component")).unionByName(roots)
 
 
-def _store(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The written edges, and their number and checksum."""
+def _store(edges: DataFrame, at_most: int | None = None) -> tuple[DataFrame, tuple]:
+    """The written edges, and their number and checksum; where there are ``at_most`` so many, in few files."""
     spark = edges.sparkSession
     path = new_scratch(spark, "edges")
+    if at_most is not None:
+        edges = edges.coalesce(-(-at_most // FILE_EDGES))
     edges.write.parquet(path)
     stored = spark.read.schema(edges.schema).parquet(path)
     return stored, tuple(stored.selectExpr(*CHANGED).first())

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lakestrata.llm import near_dedup, quality_rules, repeats
 from lakestrata.llm.components import components
 from lakestrata.llm.words import shingle_sets
+from lakestrata.session import scratch_root
+from lakestrata.sources import fs
 from tests.conftest import SMALL
 from tests.llm.helpers import AWKWARD, DOCUMENTS, FOLD, WORD, documents, prose, rows
 
@@ -123,3 +125,23 @@ def test_components_of_awkward_graphs(spark):
     got = {r["node"]: r["component"] for r in rows(components(spark.createDataFrame(edges, "a long, b long"), "a", "b"))}
     assert got == {i: 0 for i in range(51)} | {1_000 + i: 1_000 for i in range(40)} | {1_999: 1_999, 2_000: 1_999}
     assert rows(components(spark.createDataFrame([], "a long, b long"), "a", "b")) == []
+
+
+def test_steps_of_components_write_few_files(spark):
+    edges = spark.createDataFrame([(n, n + 1) for n in range(300) if n % 30], "a long, b long")
+    root = f"{scratch_root(spark)}/lakestrata/{spark.sparkContext.applicationId}"
+    known = set(fs.list_names(spark, root))
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        got = {r["node"]: r["component"] for r in components(edges, "a", "b").collect()}
+    finally:
+        spark.conf.set(conf, kept)
+    assert got == {n: n - (n - 1) % 30 for n in range(1, 301)}
+    written = [
+        sum(n.endswith(".parquet") for n in fs.list_names(spark, f"{root}/{folder}"))
+        for folder in set(fs.list_names(spark, root)) - known
+        if folder.startswith("edges-")
+    ]
+    assert len(written) > 2 and sorted(written)[:-1] == [1] * (len(written) - 1)  # all but the given edges
